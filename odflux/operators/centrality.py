@@ -2,8 +2,9 @@
 
 State is always a distributed frame keyed by node or by (source, node). Each
 round is a join and a partially aggregated ``groupBy``, so a hub with a third of
-all edges folds before the shuffle and AQE splits its side of the join. Rounds
-are persisted, and lineage is cut with a reliable checkpoint.
+all edges folds before the shuffle and its edges are spread over many tasks.
+Each round's state is written to the checkpoint folder: a lost executor costs
+one round at most, and the plan of a round stays the same size.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from odflux.functions.columns import or_zero
 from odflux.functions.session import cut_lineage
 from odflux.operators.projection import distribution
 
-CHECKPOINT_EVERY = 5
+EDGES_PER_SLICE = 250_000
 NARROW_RANGE = 1e-12
 
 
@@ -46,13 +47,27 @@ def sampled_corridors(sample: int, seed: int) -> dict:
     return {"sample": sample, "seed": seed, "weight": None}
 
 
-def _out_shares(edges: DataFrame, weight: str | None) -> DataFrame:
-    """(src, dst, share): the part of src's score that dst receives."""
+def _laid_out(nodes: DataFrame, edges: DataFrame, weight: str | None,
+              base: Column) -> tuple[DataFrame, DataFrame]:
+    """Edges as (src, slice, dst, share) and nodes as (id, base, slices), placed once and kept.
+
+    Edges stay where they are for the whole run; only node-sized frames move.
+    The edges of a hub are cut into slices by destination, so no partition
+    holds more than a bounded part of them.
+    """
+    places = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = or_zero(F.col(weight)) if weight else F.lit(1.0)
-    pairs = edges.select("src", "dst", w.alias("w")).where(F.col("w") > 0)
-    pairs = pairs.groupBy("src", "dst").agg(F.sum("w").alias("w"))
-    totals = pairs.groupBy("src").agg(F.sum("w").alias("total"))
-    return pairs.join(totals, "src").select("src", "dst", (F.col("w") / F.col("total")).alias("share"))
+    pairs = edges.select("src", "dst", w.alias("w")).groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    pairs = pairs.where(F.col("w") > 0)
+    out = pairs.groupBy("src").agg(
+        F.sum("w").alias("total"), F.ceil(F.count(F.lit(1)) / F.lit(EDGES_PER_SLICE)).cast("int").alias("slices"))
+    shares = pairs.join(out, "src").select(
+        "src", F.pmod(F.hash("dst"), F.col("slices")).alias("slice"), "dst",
+        (F.col("w") / F.col("total")).alias("share"))
+    state = nodes.select("id", base.alias("base")).join(
+        out.select(F.col("src").alias("id"), "slices"), "id", "left").fillna(0, ["slices"])
+    return (shares.repartition(places, "src", "slice").persist(StorageLevel.MEMORY_AND_DISK),
+            state.repartition(places, "id").persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, max_iter: int = 20, damping: float = 0.85,
@@ -65,34 +80,27 @@ def pagerank(nodes: DataFrame, edges: DataFrame, max_iter: int = 20, damping: fl
     """
     if max_iter < 1 or not 0 <= damping < 1:
         raise ValueError("max_iter must be at least 1 and damping within [0, 1)")
-    shares = _out_shares(edges, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    base = F.lit(1.0) if seeds is None else F.col("id").isin(*list(seeds)).cast("double")
-    start = nodes.select("id", (base * (1.0 - damping)).alias("base")).persist(StorageLevel.MEMORY_AND_DISK)
-    ranks = start.select("id", "base", F.col("base").alias("score"))
-    held: list[DataFrame] = []
+    flag = F.lit(1.0) if seeds is None else F.col("id").isin(*list(seeds)).cast("double")
+    shares, state = _laid_out(nodes, edges, weight, flag * (1.0 - damping))
+    ranks = state.select("*", F.col("base").alias("score"))
     iterations, converged = 0, False
     while iterations < max_iter and not converged:
+        sent = ranks.where(F.col("slices") > 0).select(
+            F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "score")
         received = (
-            shares.join(ranks.select(F.col("id").alias("src"), "score"), "src")
-            .groupBy(F.col("dst").alias("id"))
+            shares.join(sent, ["src", "slice"]).groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("share") * F.col("score")).alias("received"))
         )
-        moved = ranks.withColumnRenamed("score", "previous").join(received, "id", "left").select(
-            "id", "base", (F.col("base") + F.lit(damping) * or_zero(F.col("received"))).alias("score"), "previous")
+        score = F.col("base") + F.lit(damping) * or_zero(F.col("received"))
+        # Only the node frame is written each round, so the plan of a round never grows.
+        ranks = cut_lineage(ranks.join(received, "id", "left").select(
+            "id", "base", "slices", score.alias("score"), F.abs(score - F.col("score")).alias("shift")))
         iterations += 1
-        last = iterations == max_iter
         if tol > 0:
-            moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(moved)
-            shift = moved.agg(F.max(F.abs(F.col("score") - F.col("previous")))).first()[0]
+            shift = ranks.agg(F.max("shift")).first()[0]
             converged = shift is None or shift < tol
-        ranks = moved.drop("previous")
-        if last or converged or iterations % CHECKPOINT_EVERY == 0:
-            ranks = cut_lineage(ranks)
-            while held:
-                held.pop().unpersist()
     shares.unpersist()
-    start.unpersist()
+    state.unpersist()
     scores = ranks.select("id", "score")
     return RankRun(scale_scores(scores, scaler) if scaler else scores, iterations, converged)
 
@@ -146,8 +154,7 @@ def _hop_levels(sources: DataFrame, links: DataFrame) -> list[DataFrame]:
         if frontier.isEmpty():
             return levels
         levels.append(frontier)
-        seen = cut_lineage(seen.unionByName(frontier.select("source", "node"))) \
-            if len(levels) % CHECKPOINT_EVERY == 0 else seen.unionByName(frontier.select("source", "node"))
+        seen = seen.unionByName(frontier.select("source", "node"))
 
 
 def _relax(sources: DataFrame, links: DataFrame) -> DataFrame:

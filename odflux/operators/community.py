@@ -62,55 +62,74 @@ def _modularity(links: DataFrame, member: DataFrame) -> DataFrame:
     return sums.select(or_zero(F.try_divide(F.col("i"), t) - F.try_divide(F.col("tt"), t * t)).alias("modularity"))
 
 
-def _best_moves(links: DataFrame, member: DataFrame, degree: DataFrame, whole: float, turn: int) -> DataFrame:
-    """(id, c): the membership after the nodes whose turn it is move to their best community.
-
-    A node weighs staying against every neighbouring community by
-    ``w(node, c) - degree·total(c)/whole``; ties go to the smaller label. Only a
-    hashed half of the nodes may move per turn, so neighbours rarely swap labels.
+def _weighed(links: DataFrame, state: DataFrame, whole: float, turn: int) -> DataFrame:
+    """One turn: every node of ``state(id, c, k, own)`` with its best community.
+
+    A node weighs staying against each neighbouring community by
+    ``w(node, c) - k·total(c)/whole``; ties go to the smaller label. Only a
+    hashed half of the nodes may move per turn, so neighbours rarely swap
+    labels. ``inner`` is the weight the node sends into its own community, from
+    which the modularity of the membership as it was follows.
     """
     toward = (
         links.where(F.col("src") != F.col("dst"))
-        .join(member.select(F.col("id").alias("dst"), "c"), "dst")
+        .join(state.select(F.col("id").alias("dst"), "c"), "dst")
         .groupBy(F.col("src").alias("id"), "c").agg(F.sum("w").alias("to_c"))
     )
-    sizes = member.join(degree, "id").groupBy("c").agg(F.sum("k").alias("total"))
-    own = member.select("id", "c", F.lit(0.0).alias("to_c"))
-    choices = (
-        toward.unionByName(own).groupBy("id", "c").agg(F.sum("to_c").alias("to_c"))
-        .join(sizes, "c")
-        .join(degree, "id")
-        .join(member.select("id", F.col("c").alias("home")), "id")
+    here = state.select("id", "c", F.lit(0.0).alias("to_c"))
+    options = toward.unionByName(here).groupBy("id", "c").agg(F.sum("to_c").alias("to_c"))
+    sizes = state.groupBy("c").agg(F.sum("k").alias("total"))
+    at_home = F.col("c") == F.col("home")
+    others = F.col("total") - F.when(at_home, F.col("k")).otherwise(0.0)
+    scored = (
+        options.join(sizes, "c").join(state.select("id", F.col("c").alias("home"), "k", "own"), "id")
+        .select("id", "home", "k", "own", "c", "to_c", at_home.alias("stays"),
+                (F.col("to_c") - F.col("k") * others / F.lit(whole)).alias("gain"))
     )
-    others = F.col("total") - F.when(F.col("c") == F.col("home"), F.col("k")).otherwise(0.0)
-    scored = choices.select("id", "home", "c", (F.col("to_c") - F.col("k") * others / F.lit(whole)).alias("gain"))
-    picked = scored.groupBy("id", "home").agg(
-        F.max(F.when(F.col("c") == F.col("home"), F.col("gain"))).alias("stay"),
-        F.max(F.struct("gain", (-F.col("c")).alias("neg"))).alias("best"),
+    picked = scored.groupBy("id", "home", "k", "own").agg(
+        F.max(F.when(F.col("stays"), F.col("gain"))).alias("stay"),
+        F.max(F.when(F.col("stays"), F.col("to_c"))).alias("inner"),
+        F.max("gain").alias("top"),
+        F.min_by("c", F.struct(-F.col("gain"), F.col("c"))).alias("best"),
     )
     free = F.pmod(F.xxhash64("id", F.lit(turn // 2)), F.lit(2)) == turn % 2
-    moves = free & (F.col("best.gain") > F.col("stay") + 1e-12)
-    return picked.select("id", F.when(moves, -F.col("best.neg")).otherwise(F.col("home")).alias("c"))
+    moves = free & (F.col("top") > F.col("stay") + 1e-12)
+    return picked.select(
+        "id", "home", F.when(moves, F.col("best")).otherwise(F.col("home")).alias("c"), "k", "own",
+        (F.col("inner") + F.col("own")).alias("inner"))
+
+
+def _quality_before(turned: DataFrame, whole: float) -> float:
+    """Modularity of the membership a turn started from."""
+    per = turned.groupBy("home").agg(F.sum("inner").alias("i"), F.sum("k").alias("t"))
+    row = per.agg(F.sum("i").alias("i"), F.sum(F.col("t") * F.col("t")).alias("tt")).first()
+    return row["i"] / whole - row["tt"] / (whole * whole)
 
 
 def _one_level(links: DataFrame, member: DataFrame, max_iter: int, tol: float) -> tuple[DataFrame, float]:
-    degree = links.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
-    degree = member.select("id").join(degree, "id", "left").select("id", or_zero(F.col("k")).alias("k"))
-    degree = degree.persist(StorageLevel.MEMORY_AND_DISK)
-    whole = degree.agg(F.sum("k")).first()[0] or 0.0
-    quality = _modularity(links, member).first()[0]
-    idle, turn = 0, 0
-    while whole > 0 and turn < 2 * max_iter and idle < 2:
-        trial = cut_lineage(_best_moves(links, member, degree, whole, turn))
-        reached = _modularity(links, trial).first()[0]
-        if reached > quality:
-            idle = 0 if reached - quality > tol else idle + 1
-            member, quality = trial, reached
+    """Moves nodes until two turns in a row gain nothing; a turn that loses modularity is undone."""
+    ends = links.groupBy(F.col("src").alias("id")).agg(
+        F.sum("w").alias("k"), F.sum(F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(0.0)).alias("own"))
+    kept = cut_lineage(member.join(ends, "id", "left").select(
+        "id", "c", or_zero(F.col("k")).alias("k"), or_zero(F.col("own")).alias("own")))
+    whole = kept.agg(F.sum("k")).first()[0] or 0.0
+    if whole <= 0:
+        return kept.select("id", "c"), 0.0
+    quality, idle, trial = None, 0, kept
+    for turn in range(2 * max_iter + 1):
+        turned = cut_lineage(_weighed(links, trial, whole, turn))
+        reached = _quality_before(turned, whole)
+        if quality is None or reached > quality:
+            idle = 0 if quality is None or reached - quality > tol else idle + 1
+            kept, quality = trial, reached
+            trial = turned.select("id", "c", "k", "own")
         else:
+            # undo, and let the other half of the nodes try from the kept membership
             idle += 1
-        turn += 1
-    degree.unpersist()
-    return member, quality
+            trial = cut_lineage(_weighed(links, kept, whole, turn)).select("id", "c", "k", "own")
+        if idle >= 2:
+            break
+    return kept.select("id", "c"), quality
 
 
 def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter: int = 10, tol: float = 1e-4,

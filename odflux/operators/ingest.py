@@ -50,33 +50,29 @@ def _whole(raw: Column) -> Column:
     """Truncated, saturated int; not-a-number becomes 0 (and fails the range rules)."""
     number = raw.try_cast("double")
     inside = F.greatest(F.least(number, F.lit(2147483647.0)), F.lit(-2147483648.0))
-    return F.when(F.isnan(number), F.lit(0)).otherwise(inside.cast("int"))
+    return F.when(F.isnan(number), F.lit(0)).when(number.isNotNull(), inside.cast("int"))
 
 
-def _instant_millis(raw: Column, tz: str) -> Column:
-    """Epoch millis of a local wall-clock text, or null.
-
-    The layout is chosen by the look of the text, so each value is parsed once
-    instead of failing its way through four patterns.
-    """
+def _one_layout(raw: Column) -> Column:
+    """Wall-clock text in one layout where its look says which of the others it has."""
     text = F.when(F.substring(raw, 20, 1) == ".", F.substring(raw, 1, 19)).otherwise(raw)
-    layout = (
-        F.when(text.like("____-__-__T%"), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
-        .when(text.like("____-__-__ %"), F.lit("yyyy-MM-dd HH:mm:ss"))
-        .when(text.like("__/__/____ % AM") | text.like("__/__/____ % PM"), F.lit("MM/dd/yyyy hh:mm:ss a"))
-        .when(text.like("__/__/____ %"), F.lit("MM/dd/yyyy HH:mm:ss"))
-    )
-    local = F.coalesce(
-        *[
-            F.when(layout == pattern, F.try_to_timestamp(text, F.lit(pattern)))
-            for pattern in (
-                "yyyy-MM-dd HH:mm:ss",
-                "yyyy-MM-dd'T'HH:mm:ss",
-                "MM/dd/yyyy HH:mm:ss",
-                "MM/dd/yyyy hh:mm:ss a",
-            )
-        ]
+    day_first = F.concat(F.substring(text, 7, 4), F.lit("-"), F.substring(text, 1, 2), F.lit("-"),
+                         F.substring(text, 4, 2), F.substring(text, 11, 30))
+    return (
+        F.when(text.like("____-__-__T%"), F.concat(F.substring(text, 1, 10), F.lit(" "), F.substring(text, 12, 30)))
+        .when(text.like("__/__/____ %"), day_first)
+        .when(~F.substring(text, -3, 3).isin(" AM", " PM"), text)
     )
+
+
+def _instant_millis(text: Column, tz: str) -> Column:
+    """Epoch millis of a local wall-clock text in the one layout (24 hours, or 12 with AM/PM), or null.
+
+    Each value meets a single pattern, so good rows never pay for failed parses.
+    """
+    half_day = F.substring(text, -3, 3).isin(" AM", " PM")
+    local = F.when(half_day, F.try_to_timestamp(text, F.lit("yyyy-MM-dd hh:mm:ss a"))).otherwise(
+        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")))
     return F.unix_millis(F.to_utc_timestamp(local, tz))
 
 
@@ -130,8 +126,8 @@ def assess_trips(raw: DataFrame, service_type: str, tz: str = "America/New_York"
     )
     typed = texts.select(
         "*",
-        _instant_millis(c("_pickup_raw"), tz).alias("pickup_epoch_millis"),
-        _instant_millis(c("_dropoff_raw"), tz).alias("dropoff_epoch_millis"),
+        _instant_millis(_one_layout(c("_pickup_raw")), tz).alias("pickup_epoch_millis"),
+        _instant_millis(_one_layout(c("_dropoff_raw")), tz).alias("dropoff_epoch_millis"),
         _whole(c("_pu_raw")).alias("pickup_location_id"),
         _whole(c("_do_raw")).alias("dropoff_location_id"),
         _finite(c("_distance_raw")).alias("trip_distance_miles"),
@@ -166,12 +162,14 @@ def assess_trips(raw: DataFrame, service_type: str, tz: str = "America/New_York"
          labelled("trip_distance=", c("trip_distance_miles"))),
         (c("_speed") > MAX_SPEED_MPH, "implausible_speed", labelled("speed_mph=", c("_speed"))),
     ]
-    verdict = F.coalesce(
-        *[F.when(broken, F.struct(F.lit(why).alias("reason"), detail.alias("detail"))) for broken, why, detail in rules]
-    )
+    # The number of the first broken rule; name and detail follow from it.
+    first_broken = F.coalesce(*[F.when(broken, F.lit(i + 1)) for i, (broken, _, _) in enumerate(rules)])
+    judged = typed.withColumn("_rule", first_broken)
+    reason = F.coalesce(*[F.when(c("_rule") == i + 1, F.lit(why)) for i, (_, why, _) in enumerate(rules)])
+    detail = F.coalesce(*[F.when(c("_rule") == i + 1, told) for i, (_, _, told) in enumerate(rules)])
     passengers = _whole(c("_t_passenger_count"))
     vendor = _whole(c("_t_vendor_id"))
-    return typed.select(
+    return judged.select(
         event_id(F.lit(service_type), vendor, c("pickup_epoch_millis"), c("dropoff_epoch_millis"),
                  c("pickup_location_id"), c("dropoff_location_id"), c("total_amount")).alias("event_id"),
         F.lit(service_type).alias("service_type"),
@@ -188,8 +186,8 @@ def assess_trips(raw: DataFrame, service_type: str, tz: str = "America/New_York"
         *[_finite(c(f"_t_{field}")).alias(field) for field in AMOUNT_FIELDS],
         "total_amount", "source_file", "source_line",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("ingested_at"),
-        verdict.getField("reason").alias("reason"),
-        verdict.getField("detail").alias("detail"),
+        reason.alias("reason"),
+        detail.alias("detail"),
     )
 
 
