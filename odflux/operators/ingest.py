@@ -124,22 +124,28 @@ def assess_trips(raw: DataFrame, service_type: str, tz: str = "America/New_York"
         (c("source_file") if "source_file" in raw.columns else F.lit(None).cast("string")).alias("source_file"),
         (c("source_line") if "source_line" in raw.columns else F.lit(None).cast("long")).alias("source_line"),
     )
-    typed = texts.select(
-        "*",
+    passengers = _whole(c("_t_passenger_count"))
+    # A one-row ``inline`` keeps the optimizer from copying the parsing expressions into
+    # every later use and filter, so each cell is parsed once.
+    typed = texts.select(F.inline(F.array(F.struct(
+        *[c(name) for name in raw_names], c("source_file"), c("source_line"),
         _instant_millis(_one_layout(c("_pickup_raw")), tz).alias("pickup_epoch_millis"),
         _instant_millis(_one_layout(c("_dropoff_raw")), tz).alias("dropoff_epoch_millis"),
         _whole(c("_pu_raw")).alias("pickup_location_id"),
         _whole(c("_do_raw")).alias("dropoff_location_id"),
         _finite(c("_distance_raw")).alias("trip_distance_miles"),
         _finite(c("_total_raw")).alias("total_amount"),
-    ).withColumn(
-        "trip_duration_seconds",
-        F.floor((c("dropoff_epoch_millis") - c("pickup_epoch_millis")) / F.lit(1000)).cast("long"),
-    ).withColumn(
-        "_speed",
-        F.when(c("trip_duration_seconds") > 0,
-               c("trip_distance_miles") / (c("trip_duration_seconds").cast("double") / F.lit(3600.0).cast("double"))),
-    )
+        _whole(c("_t_vendor_id")).alias("vendor_id"),
+        F.when(passengers >= 0, passengers).alias("passenger_count"),
+        F.upper("_t_flag").alias("store_and_forward_flag"),
+        *[_whole(c(f"_t_{field}")).alias(field) for field in INT_FIELDS],
+        *[_finite(c(f"_t_{field}")).alias(field) for field in AMOUNT_FIELDS],
+    ))))
+    span_ms = c("dropoff_epoch_millis") - c("pickup_epoch_millis")
+    typed = typed.withColumn("trip_duration_seconds", F.floor(span_ms / F.lit(1000)).cast("long"))
+    typed = typed.withColumn("_speed", F.when(
+        c("trip_duration_seconds") > 0,
+        c("trip_distance_miles") / (c("trip_duration_seconds").cast("double") / F.lit(3600.0).cast("double"))))
 
     low, high = zone_range
     shown = lambda name: F.coalesce(c(name), F.lit("<empty>"))
@@ -162,32 +168,19 @@ def assess_trips(raw: DataFrame, service_type: str, tz: str = "America/New_York"
          labelled("trip_distance=", c("trip_distance_miles"))),
         (c("_speed") > MAX_SPEED_MPH, "implausible_speed", labelled("speed_mph=", c("_speed"))),
     ]
-    # The number of the first broken rule; name and detail follow from it.
-    first_broken = F.coalesce(*[F.when(broken, F.lit(i + 1)) for i, (broken, _, _) in enumerate(rules)])
-    judged = typed.withColumn("_rule", first_broken)
-    reason = F.coalesce(*[F.when(c("_rule") == i + 1, F.lit(why)) for i, (_, why, _) in enumerate(rules)])
-    detail = F.coalesce(*[F.when(c("_rule") == i + 1, told) for i, (_, _, told) in enumerate(rules)])
-    passengers = _whole(c("_t_passenger_count"))
-    vendor = _whole(c("_t_vendor_id"))
-    return judged.select(
-        event_id(F.lit(service_type), vendor, c("pickup_epoch_millis"), c("dropoff_epoch_millis"),
+    reason = F.coalesce(*[F.when(broken, F.lit(why)) for broken, why, _ in rules])
+    detail = F.coalesce(*[F.when(broken, told) for broken, _, told in rules])
+    return typed.select(
+        event_id(F.lit(service_type), c("vendor_id"), c("pickup_epoch_millis"), c("dropoff_epoch_millis"),
                  c("pickup_location_id"), c("dropoff_location_id"), c("total_amount")).alias("event_id"),
-        F.lit(service_type).alias("service_type"),
-        vendor.alias("vendor_id"),
-        _iso(c("pickup_epoch_millis")).alias("pickup_time"),
-        _iso(c("dropoff_epoch_millis")).alias("dropoff_time"),
-        "pickup_epoch_millis", "dropoff_epoch_millis", "trip_duration_seconds",
-        F.when(passengers >= 0, passengers).alias("passenger_count"),
-        "trip_distance_miles",
+        F.lit(service_type).alias("service_type"), "vendor_id",
+        _iso(c("pickup_epoch_millis")).alias("pickup_time"), _iso(c("dropoff_epoch_millis")).alias("dropoff_time"),
+        "pickup_epoch_millis", "dropoff_epoch_millis", "trip_duration_seconds", "passenger_count", "trip_distance_miles",
         (F.rint(c("_speed") * 100.0) / F.lit(100.0).cast("double")).alias("average_speed_mph"),
-        "pickup_location_id", "dropoff_location_id",
-        *[_whole(c(f"_t_{field}")).alias(field) for field in INT_FIELDS],
-        F.upper("_t_flag").alias("store_and_forward_flag"),
-        *[_finite(c(f"_t_{field}")).alias(field) for field in AMOUNT_FIELDS],
+        "pickup_location_id", "dropoff_location_id", *INT_FIELDS, "store_and_forward_flag", *AMOUNT_FIELDS,
         "total_amount", "source_file", "source_line",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("ingested_at"),
-        reason.alias("reason"),
-        detail.alias("detail"),
+        reason.alias("reason"), detail.alias("detail"),
     )
 
 
