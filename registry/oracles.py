@@ -280,10 +280,10 @@ def metrics_cols(y: str, p: str) -> str:
 
 
 def profile_sql(having: str, cols: str) -> str:
-    names = ZERO + CARRY + LAG_COLS
+    names = ZERO + CARRY + LAG_COLS + ["span_ms", "busy_trips"]
     rows = " UNION ALL ".join(
         f"SELECT '{c}' AS feature, count(*) FILTER ({c} IS NULL) AS null_count, coalesce(stddev_samp({c}),0) AS stddev FROM lagged" for c in names)
-    return sql(["grid"], f"SELECT {cols} FROM ({rows}) {having}", {"lagged": f"(SELECT *, {lag_cols()} FROM grid)"})
+    return sql(["grid"], f"SELECT {cols} FROM ({rows}) {having}", {"lagged": f"(SELECT *, {lag_cols()}, {dbl('window_end - window_start')} AS span_ms, CASE WHEN trip_count > 0 THEN trip_count END AS busy_trips FROM grid)"})
 
 
 PROFILES = f"""SELECT community_id, size, array_to_string(location_ids, ',') AS location_ids, array_to_string(top_zones, ',') AS top_zones,

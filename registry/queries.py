@@ -445,8 +445,17 @@ def _(g):
     return train.withColumn("part", F.lit("train")).unionByName(holdout.withColumn("part", F.lit("holdout")))
 
 
-query("feature_profile")(lambda g: features.feature_profile(features.lag_features(g.grid)))
-query("feature_health")(lambda g: features.feature_health(features.lag_features(g.grid)))
+
+def _flawed(g: Given) -> DataFrame:
+    """Lagged grid with one constant column and one that is null in empty slots."""
+    return features.lag_features(g.grid).withColumns({
+        "span_ms": (F.col("window_end") - F.col("window_start")).cast("double"),
+        "busy_trips": F.when(F.col("trip_count") > 0, F.col("trip_count")),
+    })
+
+
+query("feature_profile")(lambda g: features.feature_profile(_flawed(g)))
+query("feature_health")(lambda g: features.feature_health(_flawed(g)))
 query("training_matrix")(lambda g: features.training_matrix(g.sources, CONFIG))
 
 
