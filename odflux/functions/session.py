@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder and read on from there."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """Write the frame as a table in the checkpoint folder and read on from there.
+
+    Unlike a checkpointed plan, the table brings its real size to the planner, so a
+    small state is broadcast and a large one is not, and carries no inferred
+    constraints from round to round. A lost executor only rereads files.
+    """
+    path = f"{ensure_checkpoint_dir(frame.sparkSession)}/cut-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

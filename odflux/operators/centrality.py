@@ -315,9 +315,9 @@ def global_rank(frame: DataFrame, order: list[Column], name: str) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    placed = cut_lineage(frame.repartitionByRange(*order).sortWithinPartitions(*order))
-    seq = placed.select("*", F.monotonically_increasing_id().alias("_seq"))
-    seq = seq.select("*", F.shiftright("_seq", 33).alias("_part"))
+    placed = frame.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = placed.select("*", F.monotonically_increasing_id().alias("_seq"))
+    seq = cut_lineage(numbered.select("*", F.shiftright("_seq", 33).alias("_part")))
     sizes = seq.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
