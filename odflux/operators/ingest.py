@@ -199,14 +199,12 @@ def parse_trips(raw: DataFrame, service_type: str, tz: str = "America/New_York",
     ``limit`` keeps that many accepted trips.
     """
     assessed = assess_trips(raw, service_type, tz, zone_range)
+    trips, rejects = split_assessed(assessed)
     if fail_fast:
         message = F.concat(F.lit("rejected row "), F.coalesce("source_file", F.lit("?")), F.lit(": "),
                            F.col("reason"), F.lit(": "), F.col("detail"))
-        assessed = assessed.withColumn(
-            "event_id", F.when(F.col("reason").isNotNull(), F.raise_error(message)).otherwise(F.col("event_id"))
-        )
-        assessed = assessed.where(F.col("reason").isNull() | F.col("event_id").isNotNull())
-    trips, rejects = split_assessed(assessed)
+        sound = F.when(F.col("reason").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+        trips = assessed.where(sound).select(*EVENT_FIELDS)
     return (trips.limit(limit) if limit else trips), rejects
 
 

@@ -116,10 +116,11 @@ def graph_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     spec = projection.COMMUNITY.over(start, end)
     nodes, edges = _projected(spark, cfg, spec, zones, flows)
     assignments, profiles, drift = community.analyse_communities(spec, nodes, edges, zones, flows)
-    tables.replace_dimension(tables.persist_communities(zones, assignments), cfg.at("zones"))
-    zones = tables.read_dimension(spark, cfg.at("zones"))
+    # Profiles and drift are still plans over the stored zones, so they are written before those change.
     tables.replace_dimension(profiles, cfg.at("communities"))
     drift.write.mode("overwrite").parquet(cfg.at("community_drift"))
+    tables.replace_dimension(tables.persist_communities(zones, assignments), cfg.at("zones"))
+    zones = tables.read_dimension(spark, cfg.at("zones"))
     tables.write_graph_snapshot(zones, spark.read.parquet(cfg.at("communities")), cfg.at("graph_snapshots"), end)
 
 

@@ -137,7 +137,7 @@ def scan_trip_csv(spark: SparkSession, path: str, number_lines: bool = False) ->
 
     parts = []
     for header, members in groups.items():
-        names = next(csv.reader([header.lstrip("﻿")]))
+        names = next(csv.reader([header.lstrip("\ufeff")]))
         fields = [f"c{i}" for i in range(len(names))]
         schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
         lines = spark.read.text(members).select(
@@ -160,7 +160,8 @@ def scan_trip_csv(spark: SparkSession, path: str, number_lines: bool = False) ->
 
 
 def _is_body(line: Column, header: str) -> Column:
-    return (F.trim(line) != "") & (line != F.lit(header))
+    """Not blank and not the header, which the text reader may or may not rid of its byte order mark."""
+    return (F.trim(line) != "") & ~line.isin(header, header.lstrip("\ufeff"))
 
 
 def _unique(names: list[str]) -> list[str]:
