@@ -1,8 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 Every query writes all its rows to the no-op sink. A quick query runs once to
-warm the JVM and is then timed three times (the median counts), a slower one
-once; one that takes long is timed on its only run.
+warm the JVM and is then timed twice (the mean counts), a slower one once; one that takes long is timed on its only run.
 """
 
 from __future__ import annotations
@@ -45,7 +44,7 @@ def main() -> None:
     took: dict[str, float] = {}
     for name in names:
         first = once(spark, sf_dir, name)
-        runs = 3 if first < QUICK_SECONDS else 1 if first < LONG_SECONDS else 0
+        runs = 2 if first < QUICK_SECONDS else 1 if first < LONG_SECONDS else 0
         timed = [once(spark, sf_dir, name) for _ in range(runs)] or [first]
         took[name] = round(statistics.median(timed), 3)
         print(name, took[name], file=sys.stderr, flush=True)

@@ -37,6 +37,7 @@ class Given:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def view(self, name: str) -> DataFrame:
         return view(self.spark, self.dir, name)
