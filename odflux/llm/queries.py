@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from odflux.llm.bpe_codec import round_trip
 from odflux.llm.common import read_table
+from odflux.llm.ngram_join import ngram_components
 from odflux.llm.token_counts import with_token_counts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,5 +27,10 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op9_bpe_round_trip": op9_bpe_round_trip}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op1_token_counts": op1_token_counts, "op9_bpe_round_trip": op9_bpe_round_trip,
+           "op10_ngram_join": op10_ngram_join}
 ORACLES: dict[str, str] = {}
