@@ -10,6 +10,7 @@ from odflux.llm.bpe_codec import round_trip
 from odflux.llm.common import read_table
 from odflux.llm.ngram_join import ngram_components
 from odflux.llm.token_counts import with_token_counts
+from odflux.llm.toxicity import score_toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -19,6 +20,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_token_counts(docs, TOKENIZER).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return round_trip(docs, TOKENIZER).select(
@@ -32,5 +37,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_token_counts": op1_token_counts, "op9_bpe_round_trip": op9_bpe_round_trip,
-           "op10_ngram_join": op10_ngram_join}
+           "op8_toxicity": op8_toxicity, "op10_ngram_join": op10_ngram_join}
 ORACLES: dict[str, str] = {}
