@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from odflux.llm.bpe_codec import round_trip
 from odflux.llm.common import read_table
+from odflux.llm.decontaminate import find_leaks
 from odflux.llm.ngram_join import ngram_components
 from odflux.llm.token_counts import with_token_counts
 from odflux.llm.toxicity import score_toxicity
@@ -20,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_token_counts(docs, TOKENIZER).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -37,5 +42,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_token_counts": op1_token_counts, "op9_bpe_round_trip": op9_bpe_round_trip,
-           "op8_toxicity": op8_toxicity, "op10_ngram_join": op10_ngram_join}
+           "op4_decontaminate": op4_decontaminate, "op8_toxicity": op8_toxicity, "op10_ngram_join": op10_ngram_join}
 ORACLES: dict[str, str] = {}
