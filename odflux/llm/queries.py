@@ -10,6 +10,8 @@ from odflux.llm.bpe_codec import round_trip
 from odflux.llm.common import read_table
 from odflux.llm.decontaminate import find_leaks
 from odflux.llm.ngram_join import ngram_components
+from odflux.llm.quality import score_quality
+from odflux.llm.sentence_spans import remove_repeated_spans
 from odflux.llm.token_counts import with_token_counts
 from odflux.llm.toxicity import score_toxicity
 
@@ -25,6 +27,16 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeated_spans(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "removed_sentences", "removed_words", "text",
+                      F.length("text").cast("long").alias("text_length"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -41,6 +53,6 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op9_bpe_round_trip": op9_bpe_round_trip,
-           "op4_decontaminate": op4_decontaminate, "op8_toxicity": op8_toxicity, "op10_ngram_join": op10_ngram_join}
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op4_decontaminate, op5_quality, op6_sentence_spans, op8_toxicity, op9_bpe_round_trip, op10_ngram_join)}
 ORACLES: dict[str, str] = {}

@@ -23,14 +23,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odflux.llm.common import crc_bucket, cut_lineage, ship_package, slices
-from odflux.llm.word_arrays import split_words, windows
+from odflux.llm.common import crc_bucket, cut_lineage, slices
+from odflux.llm.labelled import TRAINING_ROWS, training_rows
 
 #: Fixed value: marks that open or close a quotation.
 QUOTES = "\"“”„«»‹›"
 FEATURES = ("exact_open", "near_open", "exact_quoted", "near_quoted", "terms", "clustered", "per_hundred_words")
 
-TRAINING_ROWS = 20_000
 LARGEST_LEXICON = 1_000
 SHORTEST_FUZZY = 5
 CONTEXT_WORDS = 8
@@ -202,34 +201,6 @@ class ToxicityModel:
         return counted.withColumn(column, F.lit(1.0) / (F.lit(1.0) + F.exp(-total))).drop("__hits")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int = TRAINING_ROWS, buckets: int = 5, held: int = 0) -> DataFrame:
-    """(text, label, signature) of a bounded sample of labelled rows outside the held-out bucket.
-
-    The sample is chosen by a hash of the id, so it is the same at every run. One
-    row stays of each group of texts that share their least 5-word shingle hash:
-    copies are no further evidence. Rows without id or label are left out.
-    """
-    ship_package(docs.sparkSession)
-    known = (labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
-             .where(crc_bucket(F.col("doc_id"), buckets) != held).groupBy("doc_id").agg(F.max("label").alias("label")))
-    total = known.count()
-    share = min(1.0, bound / max(total, 1))
-    draw = known.where(F.pmod(F.xxhash64("doc_id", F.lit("training sample")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
-
-    def signatures(column: pa.Array) -> pa.Array:
-        texts, out = column.to_pylist(), []
-        for a, b in slices(texts):
-            words = split_words(texts[a:b])
-            found, first = windows(words.hashes(), words.first, 5)
-            out += [int(found[i:j].min() >> np.uint64(1)) if j > i else 0 for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
-        return pa.array(out, type=pa.int64())
-
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(draw, "doc_id")
-    rows = cut_lineage(rows.withColumn("signature", F.arrow_udf(signatures, "long")("text")))
-    kept = rows.groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
-    return rows.join(kept, ["signature", "doc_id"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
-
-
 def learn_terms(rows: DataFrame, bound: int = LARGEST_LEXICON) -> list[str]:
     """Words of toxic texts: significant by the likelihood ratio and far more frequent there than in clean ones."""
     tally = rows.agg(F.sum("label"), F.count("*")).first()
@@ -254,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Toxic
     Without rows of both labels, or without any term, there is no lexicon and every score is
     the share of toxic rows (0 without rows), kept below one half.
     """
-    rows = cut_lineage(training_rows(docs, labels, "toxic", bound))
+    rows = cut_lineage(training_rows(docs, labels, "toxic", 5, 0, bound))
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     rate = min(0.49, counts.get(1, 0) / max(1, sum(counts.values())))
     terms = learn_terms(rows) if len(counts) == 2 else []
