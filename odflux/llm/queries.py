@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from odflux.llm.bpe_codec import round_trip
 from odflux.llm.common import read_table
 from odflux.llm.decontaminate import find_leaks
+from odflux.llm.exact_topk import exact_topk
 from odflux.llm.ngram_join import ngram_components
 from odflux.llm.quality import score_quality
 from odflux.llm.sentence_spans import remove_repeated_spans
@@ -23,6 +24,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_token_counts(docs, TOKENIZER).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(read_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20, factor=64)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -54,5 +59,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op4_decontaminate, op5_quality, op6_sentence_spans, op8_toxicity, op9_bpe_round_trip, op10_ngram_join)}
-ORACLES: dict[str, str] = {}
+    op1_token_counts, op2_exact_topk, op4_decontaminate, op5_quality, op6_sentence_spans, op8_toxicity, op9_bpe_round_trip, op10_ngram_join)}
+ORACLES = {
+    "op2_exact_topk": """
+        with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
+                   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select q.vec_id as query_id, v.vec_id, list_dot_product(q.e, v.e)::bigint as score
+              from v q join v on v.vec_id <> q.vec_id where q.vec_id % 20 = 0),
+        r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+        select query_id, rank::integer as rank, vec_id, score from r where rank <= 20""",
+}
