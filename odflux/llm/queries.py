@@ -15,6 +15,7 @@ from odflux.llm.quality import score_quality
 from odflux.llm.sentence_spans import remove_repeated_spans
 from odflux.llm.token_counts import with_token_counts
 from odflux.llm.toxicity import score_toxicity
+from odflux.llm.warc import archive_and_read_back
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -28,6 +29,11 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(read_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20, factor=64)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read_back(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -59,7 +65,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_exact_topk, op4_decontaminate, op5_quality, op6_sentence_spans, op8_toxicity, op9_bpe_round_trip, op10_ngram_join)}
+    op1_token_counts, op2_exact_topk, op3_warc, op4_decontaminate, op5_quality, op6_sentence_spans, op8_toxicity, op9_bpe_round_trip, op10_ngram_join)}
 ORACLES = {
     "op2_exact_topk": """
         with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
@@ -68,4 +74,16 @@ ORACLES = {
               from v q join v on v.vec_id <> q.vec_id where q.vec_id % 20 = 0),
         r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
         select query_id, rank::integer as rank, vec_id, score from r where rank <= 20""",
+    # Base32 is eight times four letters of twenty bits, five hexadecimal digits, each.
+    "op3_warc": """
+        with p as (select page_id, coalesce(html, '') as payload from pages),
+        h as (select *, strlen(payload) as n, sha1(payload) as digest from p),
+        f as (select *, min(page_id) over (partition by digest) as first from h),
+        b as (select *, list_transform(range(8), lambda i: ('0x' || substr(digest, (i * 5 + 1)::integer, 5))::bigint) as parts from f)
+        select page_id, n::bigint as payload_bytes,
+               array_to_string(list_transform(parts, lambda x: array_to_string(list_transform([15, 10, 5, 0],
+                   lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((x >> s) & 31) + 1)::integer, 1)), '')), '') as payload_digest,
+               case when page_id = first then 'response' else 'revisit' end as record_type,
+               case when page_id = first then null else first end as refers_to
+        from b""",
 }
