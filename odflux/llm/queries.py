@@ -10,6 +10,7 @@ from odflux.llm.bpe_codec import round_trip
 from odflux.llm.common import read_table
 from odflux.llm.decontaminate import find_leaks
 from odflux.llm.exact_topk import exact_topk
+from odflux.llm.html_text import extract_text
 from odflux.llm.ngram_join import ngram_components
 from odflux.llm.quality import score_quality
 from odflux.llm.sentence_spans import remove_repeated_spans
@@ -48,6 +49,10 @@ def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.length("text").cast("long").alias("text_length"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -65,7 +70,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_exact_topk, op3_warc, op4_decontaminate, op5_quality, op6_sentence_spans, op8_toxicity, op9_bpe_round_trip, op10_ngram_join)}
+    op1_token_counts, op2_exact_topk, op3_warc, op4_decontaminate, op5_quality, op6_sentence_spans, op7_html_text, op8_toxicity, op9_bpe_round_trip, op10_ngram_join)}
 ORACLES = {
     "op2_exact_topk": """
         with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
