@@ -1,8 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences: after a word that ends in a mark, at a line break,
-and inside a stretch of many words without a mark at places that the words
-themselves determine, so that the same passage is cut alike wherever it stands.
+and after every word of an eighth of the vocabulary, so that a passage without
+marks is cut too, and alike wherever it stands.
 From every sentence starts a span: as few sentences as make several sentences
 and enough words. Spans are hashed and brought together over the whole table;
 every sentence of a span that is not the first of its hash is removed.
@@ -25,8 +25,6 @@ from odflux.llm.common import ship_package, slices
 from odflux.llm.word_arrays import Words, mix, split_words
 
 SENTENCES, SPAN_WORDS = 3, 20
-#: A stretch of more words than this without a mark is cut after about every eighth word.
-LONGEST_SENTENCE = 16
 
 #: Fixed value: marks after which a sentence, or a clause of one, may end.
 _MARKS = np.zeros(256, dtype=bool)
@@ -45,10 +43,16 @@ def sentence_starts(words: Words, hashes: np.ndarray) -> np.ndarray:
     lines = np.concatenate([[0], np.cumsum(words.buffer == 0x0A)])
     broken = lines[words.starts[1:]] > lines[words.ends[:-1]]
     begins[1:] |= ended[:-1] | broken
-    starts = np.flatnonzero(begins)
-    size = np.diff(np.append(starts, n))
-    long = np.repeat(size > LONGEST_SENTENCE, size)
-    begins[1:] |= long[:-1] & (hashes[:-1] >> np.uint64(61) == 0)
+    begins[1:] |= hashes[:-1] >> np.uint64(61) == 0
+    # One word over and over has no such place, or only such places: it is cut where it starts, ends, and at every eighth.
+    change = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+    change[words.first[:-1][np.diff(words.first) > 0]] = True
+    run = np.flatnonzero(change)
+    size = np.diff(np.append(run, n))
+    many = np.repeat(size >= 8, size)
+    begins[many] = ((np.arange(n) - np.repeat(run, size)) % 8 == 0)[many]
+    begins[1:] |= many[:-1] & change[1:]
+    begins[words.first[:-1][np.diff(words.first) > 0]] = True
     return np.flatnonzero(begins)
 
 
