@@ -38,6 +38,8 @@ FILE_BYTES = 256 << 20
 READ_GAP = 64 << 10
 MOST_IN_ONE_READ = 16 << 20
 KEPT_BLOCKS = 8
+#: The rows that ask are small beside what they fetch, so their size says nothing about a task's work.
+LOOKUPS_A_TASK = 20_000
 
 _NO_ID = -(1 << 63)
 _CAPTURE = "key string, page_id long, file string, offset long, length long"
@@ -273,8 +275,9 @@ def look_up(wanted: DataFrame, folder: str, directory: str, payloads: bool = Tru
     digest of the payload it refers to and no ``payload``; a response's digest is taken anew from what was read.
     """
     ship_package(wanted.sparkSession)
-    keys = wanted.select("key", F.col("page_id").cast("long").alias("page_id")).distinct()
-    return (keys.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    keys = cut_lineage(wanted.select("key", F.col("page_id").cast("long").alias("page_id")).distinct())
+    tasks = max(int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), keys.count() // LOOKUPS_A_TASK)
+    return (keys.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
             .mapInArrow(lambda it: _read_back(it, folder, directory, payloads),
                         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"))
 
