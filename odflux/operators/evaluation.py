@@ -102,21 +102,22 @@ def validation_report(folds: DataFrame) -> DataFrame:
     ).withColumn("beats_baseline", F.col("mean_skill") > 0)
 
 
-def forecast_intervals(predictions: DataFrame, q_low: float | Column, q_high: float | Column) -> DataFrame:
-    """Forecast, rounded forecast and bounds.
+def forecast_intervals(predictions: DataFrame, q_low: float | Column, q_high: float | Column, clamp: bool = True) -> DataFrame:
+    """Forecast, its rounding, and bounds that lie as far below and above as past errors did.
 
-    A residual is prediction minus label, so taking the upper residual off the
-    prediction gives the lower bound.
+    Errors count as prediction less label; a model that errs upwards by ``q_high`` may
+    stand that much too high now. With ``clamp`` nothing falls below zero trips.
     """
+    floor = (lambda c: F.greatest(c, F.lit(0.0))) if clamp else (lambda c: c)
     as_column = lambda v: v if isinstance(v, Column) else F.lit(float(v))
-    p = F.greatest(F.col("prediction"), F.lit(0.0))
+    p = floor(F.col("prediction"))
     kept = [c for c in ("location_id", "window_start", "target_window_start", "trip_count") if c in predictions.columns]
     return predictions.select(
         *kept,
         p.alias("forecast_trip_count"),
         F.round(p, 0).cast("long").alias("forecast_trip_count_rounded"),
-        F.greatest(p - as_column(q_high), F.lit(0.0)).alias("forecast_lower_bound"),
-        F.greatest(p - as_column(q_low), F.lit(0.0)).alias("forecast_upper_bound"),
+        floor(p - as_column(q_high)).alias("forecast_lower_bound"),
+        floor(p - as_column(q_low)).alias("forecast_upper_bound"),
     )
 
 

@@ -26,6 +26,7 @@ from odflux.sources.tables import (
     community_features,
     demand_features,
     flow_edges,
+    in_days,
     with_day,
     zone_graph_features,
 )
@@ -91,7 +92,10 @@ class FeatureConfig:
 
 @dataclass(frozen=True)
 class FeatureSources:
-    """The frames a matrix is built from; only ``demand`` and ``zones`` are always needed."""
+    """The frames a matrix is built from; only ``demand`` and ``zones`` are always needed.
+
+    A graph layer that has not been run yet gives scores and flows of 0 and no community.
+    """
 
     demand: DataFrame
     zones: DataFrame
@@ -100,6 +104,12 @@ class FeatureSources:
     snapshots: DataFrame | None = None
 
 
+NO_COMMUNITIES = "community_id long, size long, cohesion double"
+NO_FLOWS = "origin_id int, destination_id int, window_start long, trip_count long"
+NO_SNAPSHOTS = ", ".join(["location_id int", *[f"{c} double" for c in ZONE_SCORES], "community_id long",
+                          *[f"{c} double" for c in COMMUNITY_FIGURES], "snapshot_start long"])
+
+
 def _in_order() -> Window:
     return Window.partitionBy("location_id").orderBy("window_start")
 
@@ -125,7 +135,11 @@ def complete_grid(demand: DataFrame, zones: DataFrame, slide_ms: int, width_ms:
         .withColumn("_seen", F.count(F.lit(1)).over(zone_rows))
         .where(F.col("_seen") >= min_observed)
         .withColumns({"_lo": lo, "_hi": hi})
-        .where((F.col("window_start") - F.col("_lo")) % step == 0)
+        .withColumn("_aligned", (F.col("window_start") - F.col("_lo")) % step == 0)
+        # A zone none of whose windows lies on the grid keeps one row, which only stands for its empty slots.
+        .withColumns({"_any": F.max("_aligned").over(zone_rows), "_first": F.row_number().over(order) == 1})
+        .where(F.col("_aligned") | (~F.col("_any") & F.col("_first")))
+        .withColumn("window_start", F.when(F.col("_aligned"), F.col("window_start")).otherwise(F.col("_lo")))
     )
     spread = active.select(
         "location_id", F.col("window_start").alias("_at"), F.col("window_end").alias("_end"),
@@ -133,14 +147,14 @@ def complete_grid(demand: DataFrame, zones: DataFrame, slide_ms: int, width_ms:
         *[or_zero(F.last(c, ignorenulls=True).over(carried_from)).alias(c) for c in CARRIED_INTO_EMPTY_SLOT],
         F.row_number().over(order).alias("_nth"),
         F.lead("window_start").over(order).alias("_next"),
-        "_lo", "_hi",
+        "_lo", "_hi", "_aligned",
     )
     first_slot = F.when(F.col("_nth") == 1, F.col("_lo")).otherwise(F.col("_at"))
     end_slot = F.coalesce(F.col("_next") - step, F.col("_hi"))
     slots = F.when(end_slot >= F.col("_at"), F.sequence(first_slot, end_slot, step)).otherwise(F.array("_at"))
     grid = spread.withColumn("window_start", F.explode(slots))
-    observed = F.col("window_start") == F.col("_at")
-    led_in = F.col("window_start") < F.col("_at")
+    observed = (F.col("window_start") == F.col("_at")) & F.col("_aligned")
+    led_in = (F.col("window_start") < F.col("_at")) | ~F.col("_aligned")
     return grid.select(
         "location_id", "window_start",
         F.coalesce(F.when(observed, F.col("_end")), F.col("window_start") + F.lit(width_ms)).alias("window_end"),
@@ -260,13 +274,16 @@ def asof_snapshots(df: DataFrame, snapshots: DataFrame, key: str = "snapshot_sta
 def community_peers(df: DataFrame) -> DataFrame:
     """Mean demand of the zone's community peers in the slot, and the zone's share.
 
-    A group is one community in one slot, so it is bounded by the zone count.
+    Sums and counts are folded before the shuffle and joined back, so zones without
+    a community, which all share one, need not meet in one task.
     """
     if "community_id" not in df.columns:
         return df
-    group = Window.partitionBy("community_id", "window_start")
     trips = F.col("trip_count")
-    return df.select("*", F.sum(trips).over(group).alias("_all"), F.count(F.lit(1)).over(group).alias("_n")).select(
+    folded = df.groupBy(F.col("community_id").alias("_c"), F.col("window_start").alias("_w")).agg(
+        F.sum(trips).alias("_all"), F.count(F.lit(1)).alias("_n"))
+    same = df["community_id"].eqNullSafe(F.col("_c")) & (df["window_start"] == F.col("_w"))
+    return df.join(folded, same).select(
         *df.columns,
         F.when(F.col("_n") > 1, (F.col("_all") - trips) / (F.col("_n") - 1)).otherwise(0.0)
         .alias("community_peer_mean_demand"),
@@ -363,16 +380,18 @@ def _enriched(sources: FeatureSources, cfg: FeatureConfig, start: int | None, en
     over_time = [*_lag_columns(cfg.lags), *_seasonal_columns(cfg.seasonal), *_trailing_columns(cfg.spans)]
     matrix = calendar_features(
         grid.select("*", *over_time, *(_target_columns(cfg.horizon) if target else [])), cfg.tz)
+    given = lambda frame, schema: demand.sparkSession.createDataFrame([], schema) if frame is None else frame
     if cfg.graph == CURRENT:
         if target:
             import warnings
             warnings.warn("current graph scores on past rows reflect later trips; backtests will look too good")
-        matrix = graph_features_current(matrix, sources.zones, sources.communities)
+        matrix = graph_features_current(matrix, sources.zones, given(sources.communities, NO_COMMUNITIES))
     elif cfg.graph == SNAPSHOTS:
-        matrix = asof_snapshots(matrix, sources.snapshots)
+        matrix = asof_snapshots(matrix, given(sources.snapshots, NO_SNAPSHOTS))
     matrix = community_peers(matrix)
     if cfg.use_flows:
-        matrix = flow_features(matrix, sources.flows.where(half_open(F.col("window_start"), start, end)))
+        flows = given(sources.flows, NO_FLOWS)
+        matrix = flow_features(matrix, in_days(flows, start, end).where(half_open(F.col("window_start"), start, end)))
     return matrix, demand
 
 

@@ -12,7 +12,6 @@ from odflux.operators import community, projection
 from odflux.operators.centrality import analyse_centrality
 from odflux.operators.evaluation import validation_report
 from odflux.operators.features import (
-    SNAPSHOTS,
     FeatureConfig,
     FeatureSources,
     assemble_vector,
@@ -30,7 +29,14 @@ from odflux.operators.forecast import (
     train,
     walk_forward_validate,
 )
-from odflux.operators.ingest import assess_trips, event_records, ingest_summary, reject_breakdown, split_assessed
+from odflux.operators.ingest import (
+    ZONE_RANGE,
+    assess_trips,
+    ingest_summary,
+    publish_events,
+    reject_breakdown,
+    split_assessed,
+)
 from odflux.sources import tables
 from odflux.sources.trip_files import scan_trip_csv
 from odflux.streaming.queries import read_event_stream, start_demand_query, start_flow_query, trip_stream
@@ -55,20 +61,26 @@ class JobConfig:
 
 
 def ingest_job(spark: SparkSession, cfg: JobConfig, raw_path: str, service_type: str,
-               tz: str = "America/New_York", number_lines: bool = False) -> None:
+               tz: str = "America/New_York", zone_range: tuple[int, int] = ZONE_RANGE, fail_fast: bool = False,
+               limit: int | None = None, sink: dict[str, str] | None = None) -> None:
     """Trip files -> event payloads, rejects, summary and reject breakdown.
 
     The text is read and parsed once: accepted and rejected rows go to the two
-    partitions of one staged table, and everything else reads that.
+    partitions of one staged table, and everything else reads that. With
+    ``fail_fast`` a single rejected row stops the job before anything is sent.
+    ``limit`` sends only so many trips, and ``sink`` says where to, as in
+    ``publish_events``; the default is this deployment's event files.
     """
     staged = cfg.at("ingest_staged")
-    assessed = assess_trips(scan_trip_csv(spark, raw_path, number_lines), service_type, tz)
+    assessed = assess_trips(scan_trip_csv(spark, raw_path), service_type, tz, zone_range)
     (assessed.withColumn("outcome", F.when(F.col("reason").isNull(), "accepted").otherwise("rejected"))
      .write.mode("overwrite").partitionBy("outcome").parquet(staged))
     stored = spark.read.schema(assessed.schema.add("outcome", "string")).parquet(staged)
     accepted, _ = split_assessed(stored.where(F.col("outcome") == "accepted"))
     _, rejected = split_assessed(stored.where(F.col("outcome") == "rejected"))
-    (event_records(accepted).select("key", "value", "event_millis").write.mode("overwrite").parquet(cfg.at("events")))
+    if fail_fast and (worst := rejected.select("source_file", "source_line", "reason", "detail").first()):
+        raise ValueError(f"{worst.source_file}, line {worst.source_line}: {worst.reason} ({worst.detail}); nothing was sent")
+    publish_events(accepted.limit(limit) if limit else accepted, sink or {"path": cfg.at("events"), "mode": "overwrite"})
     rejected.write.mode("overwrite").parquet(cfg.at("rejects"))
     reject_breakdown(rejected).write.mode("overwrite").parquet(cfg.at("reject_breakdown"))
     ingest_summary(stored).write.mode("overwrite").parquet(cfg.at("ingest_summary"))
@@ -85,16 +97,18 @@ def stream_job(spark: SparkSession, cfg: JobConfig, source: dict[str, str], trig
 
 
 def _latest(spark: SparkSession, cfg: JobConfig) -> int:
-    found = spark.read.parquet(cfg.at("demand_windows")).agg(F.max("window_start")).first()[0]
+    windows = spark.read.parquet(cfg.at("demand_windows"))
+    day = windows.agg(F.max(tables.PARTITION)).first()[0]  # from the folders' names alone
+    found = windows.where(F.col(tables.PARTITION) == day).agg(F.max("window_start")).first()[0] if day is not None else None
     if found is None:
-        raise LookupError("no demand windows yet; run the stream first")
+        raise LookupError("the demand table holds no window; let the stream job write some before this cycle")
     return found
 
 
 def _projected(spark, cfg, spec, zones, flows):
     count = projection.projection_cardinality(zones, flows, spec).first()
     if count["relationship_count"] == 0:
-        raise LookupError(f"no flows match {spec.name}; widen the lookback or lower the trip threshold")
+        raise LookupError(f"{spec.name} has no edge between {spec.window_from} and {spec.window_to}; look back further or ask for fewer trips")
     nodes, edges = projection.project_graph(zones, flows, spec)
     projection.refresh_projection(spec, nodes, edges, cfg.at("projections"))
     return projection.active_projection(spark, cfg.at("projections"), spec.name)
@@ -105,7 +119,7 @@ def graph_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     latest = _latest(spark, cfg)
     start, end = latest - cfg.lookback_hours * 3_600_000, latest + cfg.features.slide_ms
     zones = tables.read_dimension(spark, cfg.at("zones"))
-    flows = spark.read.parquet(cfg.at("zone_flows"))
+    flows = tables.in_days(spark.read.parquet(cfg.at("zone_flows")), start, end)
 
     spec = projection.FLOW_VOLUME.over(start, end)
     ranked = analyse_centrality(*_projected(spark, cfg, spec, zones, flows))
@@ -137,7 +151,7 @@ def training_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     tables.write_feature_store(matrix, cfg.at("feature_store"))
     stored = tables.read_feature_store(spark, cfg.at("feature_store"))
     if stored.isEmpty():
-        raise LookupError("the training matrix is empty; check the time bounds and the history length")
+        raise LookupError("no slot has both its history and its target; widen train_from and train_to or shorten the lookback")
     feature_health(stored).write.mode("overwrite").parquet(cfg.at("feature_health"))
     training = replace(cfg.training, embargo_ms=cfg.features.horizon * cfg.features.slide_ms)
     rows = assemble_vector(stored, cfg.features.scale).persist()
@@ -145,7 +159,7 @@ def training_cycle(spark: SparkSession, cfg: JobConfig) -> None:
         folds = walk_forward_validate(rows, training, cfg.folds)
         report = validation_report(folds).first()
         if not report["beats_baseline"]:
-            warnings.warn("the model does not beat the seasonal naive baseline; do not promote it")
+            warnings.warn("yesterday's count forecasts these rows better than the model; keep the deployed one")
         model = train(rows, training)
         feature_importances(model).write.mode("overwrite").parquet(cfg.at("feature_importances"))
         folds.write.mode("overwrite").parquet(cfg.at("validation_folds"))
@@ -164,7 +178,7 @@ def inference_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     produced = forecast(model, rows).persist()
     try:
         if produced.isEmpty():
-            warnings.warn("inference produced no rows; the newest slots may be outside the stored history")
+            warnings.warn("nothing was forecast: no zone has rows in the newest slots of the demand table")
             return
         tables.upsert(tables.with_day(produced), cfg.at("forecast_store"), ["location_id", "window_start"])
         tables.publish_forecasts(produced, tables.read_dimension(spark, cfg.at("zones")), cfg.at("forecasts"),
@@ -172,6 +186,3 @@ def inference_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     finally:
         produced.unpersist()
 
-
-def uses_snapshots(cfg: JobConfig) -> bool:
-    return cfg.features.graph == SNAPSHOTS

@@ -1,16 +1,15 @@
 """Keyed Parquet tables: replay-safe upserts, typed loads, feature store, snapshots.
 
-A table is a Parquet folder partitioned by one slot column. An upsert rewrites
-only the partitions the incoming rows touch. The merged rows are first written
-to ``<path>__staged`` and the table is overwritten from there, so no job ever
-overwrites what it is reading and a job that dies half way can simply be rerun:
-the same batch merged twice gives the same table. One writer per table.
+A table is a Parquet folder partitioned by one slot column. An upsert reads and
+rewrites only the partitions the incoming rows touch. The merged rows are first
+written to ``<path>__staged`` and the table is overwritten from there, so no job
+ever overwrites what it is reading. A finished staged copy that is still there
+when a writer begins means that the writer before died while it moved the copy in:
+the move is done again first, before anything is read. One writer per table.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +32,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def _same_key(keys: list[str]):
-    return reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
-
-
 def latest_per_key(rows: DataFrame, keys: list[str], order_col: str | None) -> DataFrame:
-    """One row per key: the greatest ``order_col``, else any one of the copies."""
-    if order_col is None:
-        return rows.dropDuplicates(keys)
+    """One row per key: the greatest ``order_col``, ties and rows without one settled by the other values."""
     rest = [c for c in rows.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(order_col, *[c for c in rest if c != order_col]))
+    if not rest:
+        return rows.distinct()
+    newest = F.max_by(F.struct(*rest), F.struct(*[c for c in rest if c == order_col], *[c for c in rest if c != order_col]))
     return rows.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*rows.columns)
 
 
@@ -73,17 +68,38 @@ def upsert(df: DataFrame, path: str, keys: list[str], order_col: str | None = No
            partition: str = PARTITION) -> None:
     """Last-write-wins merge of ``df`` into the table at ``path``, partition by partition."""
     spark = df.sparkSession
+    finish_move(spark, path, partition)
     incoming = latest_per_key(df, keys, order_col)
-    staged = f"{path}__staged"
     merged = incoming
     if path_exists(spark, path):
-        existing = spark.read.parquet(path)
-        touched = incoming.select(partition).distinct()
-        merged = merge_rows(existing.join(touched, partition, "left_semi"), incoming, keys)
-    merged.write.mode("overwrite").parquet(staged)
-    # REBALANCE: one writer per small slot, several for a slot that holds much of the data.
-    (spark.read.schema(merged.schema).parquet(staged).hint("rebalance", F.col(partition)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+        # The slots of a batch are few, and as literals they reach the partition filter of the scan.
+        touched = [r[0] for r in incoming.select(partition).distinct().collect()]
+        slot = F.col(partition)
+        known = slot.isin([t for t in touched if t is not None])
+        existing = spark.read.parquet(path).where(known | slot.isNull() if None in touched else known)
+        merged = merge_rows(existing, incoming, keys)
+    merged.write.mode("overwrite").parquet(_staged(path))
+    finish_move(spark, path, partition)
+
+
+def _staged(path: str) -> str:
+    return f"{path}__staged"
+
+
+def finish_move(spark: SparkSession, path: str, partition: str | None = None) -> None:
+    """Move a finished staged copy into the table and remove it; doing so twice changes nothing."""
+    staged = _staged(path)
+    if not path_exists(spark, f"{staged}/_SUCCESS"):
+        return
+    rows = spark.read.parquet(staged)
+    if partition is None:
+        rows.write.mode("overwrite").parquet(path)
+    else:
+        # REBALANCE: one writer per small slot, several for a slot that holds much of the data.
+        (rows.hint("rebalance", F.col(partition)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    location = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def with_day(df: DataFrame, millis: str = "window_start") -> DataFrame:
@@ -106,13 +122,22 @@ def upsert_zone_flows(batch: DataFrame, path: str) -> None:
 
 # --- typed loads -----------------------------------------------------------
 
+def in_days(rows: DataFrame, start: int | None, end: int | None) -> DataFrame:
+    """Rows of a stored table in the day partitions that ``start <= window_start < end`` can touch; other frames as they are."""
+    if PARTITION not in rows.columns:
+        return rows
+    last = None if end is None else (end - 1) // 86_400_000 + 1
+    return rows.where(half_open(F.col(PARTITION), None if start is None else start // 86_400_000, last))
+
+
+
 def demand_features(windows: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
     """Demand rows in canonical types for ``start <= window_start < end``, one per key."""
     have = set(windows.columns)
     number = lambda name: (F.col(name) if name in have else F.lit(None)).cast("double").alias(name)
     surge = F.coalesce(F.col("is_surge").cast("boolean"), F.lit(False)) if "is_surge" in have else F.lit(False)
     return (
-        windows.where(half_open(F.col("window_start"), start, end))
+        in_days(windows, start, end).where(half_open(F.col("window_start"), start, end))
         .select(
             F.col("location_id").cast("int").alias("location_id"),
             F.col("window_start").cast("long").alias("window_start"),
@@ -127,11 +152,7 @@ def demand_features(windows: DataFrame, start: int | None = None, end: int | Non
 def load_demand_windows(spark: SparkSession, path: str, start: int | None = None,
                         end: int | None = None) -> DataFrame:
     """``demand_features`` of a stored table, reading only the day partitions in range."""
-    rows = spark.read.parquet(path)
-    if PARTITION in rows.columns:
-        last = None if end is None else (end - 1) // 86_400_000 + 1
-        rows = rows.where(half_open(F.col(PARTITION), None if start is None else start // 86_400_000, last))
-    return demand_features(rows, start, end)
+    return demand_features(spark.read.parquet(path), start, end)
 
 
 def zone_graph_features(zones: DataFrame) -> DataFrame:
@@ -154,7 +175,7 @@ def community_features(communities: DataFrame) -> DataFrame:
 
 
 def flow_edges(flows: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
-    return flows.where(half_open(F.col("window_start"), start, end)).select(
+    return in_days(flows, start, end).where(half_open(F.col("window_start"), start, end)).select(
         F.col("origin_id").cast("int").alias("origin_id"),
         F.col("destination_id").cast("int").alias("destination_id"),
         F.col("window_start").cast("long").alias("window_start"),
@@ -257,11 +278,11 @@ def write_forecasts(forecasts: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
+    finish_move(spark, path)
     return spark.read.parquet(path)
 
 
 def replace_dimension(df: DataFrame, path: str) -> None:
     """Overwrite a small keyed dimension that ``df`` may itself have been read from."""
-    staged = f"{path}__staged"
-    df.write.mode("overwrite").parquet(staged)
-    df.sparkSession.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(_staged(path))
+    finish_move(df.sparkSession, path)

@@ -6,7 +6,7 @@ import csv
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,8 +81,8 @@ def list_trip_files(spark: SparkSession, path: str) -> list[str]:
     return [p.toString() for p in sorted(wanted, key=lambda p: p.getName())]
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    """First line of one file; opens the file, reads one buffer, never the body."""
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of one file, None when it has no line; opens the file, reads one buffer, never the body."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     location = jvm.org.apache.hadoop.fs.Path(path)
@@ -91,7 +91,7 @@ def _first_line(spark: SparkSession, path: str) -> str:
         if path.lower().endswith(".gz"):
             stream = jvm.java.util.zip.GZIPInputStream(stream)
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine() or ""
+        return reader.readLine()
     finally:
         stream.close()
 
@@ -119,25 +119,30 @@ def _line_numbers(lines: DataFrame) -> DataFrame:
     )
 
 
-def scan_trip_csv(spark: SparkSession, path: str, number_lines: bool = False) -> DataFrame:
-    """All trip files under ``path`` as strings with logical column names.
+def scan_trip_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All trip files under ``path`` as strings with logical column names and their physical line numbers.
 
-    Only headers are read at planning time. ``number_lines`` adds the physical
-    line number and costs a second pass over the text.
+    Only headers are read at planning time. Numbering counts lines per split in a
+    pass of its own, which parses nothing. Line 1 of a file is its header; a later
+    copy of it is a row like any other. A file without a single line is passed
+    over; one whose first line is blank lacks its columns, which is an error.
     """
     files = list_trip_files(spark, path)
     with ThreadPoolExecutor(max_workers=16) as pool:
         headers = list(pool.map(lambda f: _first_line(spark, f), files))
     groups: dict[str, list[str]] = {}
     for name, header in zip(files, headers):
-        if header:
+        if header is not None:
             groups.setdefault(header, []).append(name)
     if not groups:
         raise FileNotFoundError(f"no readable trip files at {path}")
 
     parts = []
     for header, members in groups.items():
-        names = next(csv.reader([header.lstrip("\ufeff")]))
+        names = next(csv.reader([header.lstrip("\ufeff")]), [])
+        absent = [name for name in REQUIRED if name not in logical_columns(names)]
+        if absent:
+            raise ValueError(f"{members[0]} lacks required columns: {', '.join(absent)}")
         fields = [f"c{i}" for i in range(len(names))]
         schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
         lines = spark.read.text(members).select(
@@ -146,10 +151,7 @@ def scan_trip_csv(spark: SparkSession, path: str, number_lines: bool = False) ->
             F.col("_metadata.file_path").alias("source_path"),
             F.col("_metadata.file_block_start").alias("_block"),
         )
-        numbered = _line_numbers(lines) if number_lines else lines.withColumn(
-            "source_line", F.lit(None).cast("long")
-        )
-        body = numbered.where(_is_body(F.col("value"), header))
+        body = _line_numbers(lines).where((F.col("source_line") > 1) & (F.trim("value") != ""))
         row = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"'})
         cells = body.select(row.alias("r"), "source_file", "source_line")
         spelled = cells.select(
@@ -159,11 +161,6 @@ def scan_trip_csv(spark: SparkSession, path: str, number_lines: bool = False) ->
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _is_body(line: Column, header: str) -> Column:
-    """Not blank and not the header, which the text reader may or may not rid of its byte order mark."""
-    return (F.trim(line) != "") & ~line.isin(header, header.lstrip("\ufeff"))
-
-
 def _unique(names: list[str]) -> list[str]:
     """Keep the last of repeated header names addressable, as a map from names would."""
     last = {_bare(n): i for i, n in enumerate(names)}

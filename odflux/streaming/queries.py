@@ -17,11 +17,12 @@ OUTPUT_MODES = ("update", "append")
 
 
 def read_event_stream(spark: SparkSession, source: dict[str, str], starting_offsets: str = "latest",
-                      max_offsets_per_trigger: int = 500_000, fail_on_data_loss: bool = False,
+                      max_offsets_per_trigger: int = 500_000, fail_on_data_loss: bool = True,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw payloads: a Kafka topic (``{"kafka": servers, "topic": name}``) or Parquet files (``{"path": ...}``).
 
-    ``max_offsets_per_trigger=0`` lifts the rate cap.
+    ``max_offsets_per_trigger=0`` lifts the rate cap. Offsets that the broker no
+    longer has fail the query unless ``fail_on_data_loss`` is turned off.
     """
     if "kafka" in source:
         reader = (
@@ -78,14 +79,13 @@ def start_flow_query(trips: DataFrame, out: str, checkpoint: str, mode: str = "u
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the latest rates and payload counters of each query; ``frame`` shows them as rows."""
+    """Appends rates and payload counters of every micro-batch to the table at ``path``; ``frame`` reads them."""
 
     SCHEMA = ("query string, batch_id long, input_rows long, input_rows_per_second double, "
               "processed_rows_per_second double, payloads_seen long, payloads_malformed long")
 
-    def __init__(self, keep: int = 1000):
-        self._keep = keep
-        self.rows: list[tuple] = []
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -93,11 +93,11 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         seen = p.observedMetrics.get(QUALITY)
-        self.rows.append((
+        row = (
             p.name, p.batchId, p.numInputRows, float(p.inputRowsPerSecond or 0), float(p.processedRowsPerSecond or 0),
             seen["payloads_seen"] if seen else 0, seen["payloads_malformed"] if seen else 0,
-        ))
-        del self.rows[:-self._keep]
+        )
+        self._spark.createDataFrame([row], self.SCHEMA).coalesce(1).write.mode("append").parquet(self._path)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -105,5 +105,5 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, self.SCHEMA)
+    def frame(self) -> DataFrame:
+        return self._spark.read.schema(self.SCHEMA).parquet(self._path)

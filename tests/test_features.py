@@ -110,3 +110,20 @@ def test_null_feature_is_an_error_and_names_are_sorted(spark):
 def test_bad_settings_are_refused(bad):
     with pytest.raises(ValueError):
         features.FeatureConfig(**bad)
+
+
+def test_a_zone_off_the_grid_has_empty_slots(spark):
+    odd = demand(spark, [(1, 0, 4), (1, 2, 5), (2, 1, 9)]).withColumn(
+        "window_start", F.when(F.col("location_id") == 2, F.col("window_start") + 7).otherwise(F.col("window_start")))
+    grid = features.complete_grid(odd, zones(spark, 1, 2), SLIDE, WIDTH)
+    assert slots(grid, "trip_count") == {1: [4, 0, 5], 2: [0, 0, 0]}
+    assert slots(grid, "avg_speed_mph")[2] == [0, 0, 0]
+
+
+def test_matrix_without_a_graph_layer(spark):
+    cfg = features.FeatureConfig(lags=(1,), spans=(2,), daily_lag=False, weekly_lag=False, horizon=1, graph=features.CURRENT)
+    sources = features.FeatureSources(demand(spark, SPARSE), zones(spark, 1, 2))
+    for graph in (features.CURRENT, features.SNAPSHOTS):
+        from dataclasses import replace
+        got = features.training_matrix(sources, replace(cfg, graph=graph)).collect()
+        assert got and all(r.community_id == -1 and r.page_rank_score == 0 and r.inbound_trip_count == 0 for r in got)

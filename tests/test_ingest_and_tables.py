@@ -29,7 +29,7 @@ def extracts(tmp_path):
 
 
 def test_scan_unites_header_spellings(spark, extracts):
-    rows = scan_trip_csv(spark, extracts, number_lines=True).orderBy("source_file", "source_line").collect()
+    rows = scan_trip_csv(spark, extracts).orderBy("source_file", "source_line").collect()
     assert [(r["source_file"], r["source_line"]) for r in rows] == [
         ("a.csv", 2), ("a.csv", 4), ("a.csv", 5), ("b.csv.gz", 2)]
     assert rows[3]["ehail_fee"] == "0.5" and rows[0]["ehail_fee"] is None
@@ -126,3 +126,62 @@ def test_polygons_take_both_id_spellings(spark, tmp_path):
     got = enrich_polygons(load_zone_polygons(spark, str(tmp_path / "z.json")), metrics, ["trip_count"]).collect()
     assert sorted((r["location_id"], r["trip_count"], r["zone_name"]) for r in got) == [(-1, 0, ""), (1, 7, "A"), (2, 0, "B")]
     assert json.loads(got[0]["geometry"]) == shape
+
+
+def test_blank_header_is_an_error_and_a_repeated_header_a_row(spark, tmp_path):
+    head = "tpep_pickup_datetime,tpep_dropoff_datetime,PULocationID,DOLocationID,trip_distance,total_amount"
+    (tmp_path / "a.csv").write_text(f"{head}\n2024-01-01 00:00:00,2024-01-01 00:05:00,1,2,1.0,5.0\n{head}\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = scan_trip_csv(spark, str(tmp_path)).orderBy("source_line").collect()
+    assert [(r.source_line, r.pickup_datetime) for r in rows] == [(2, "2024-01-01 00:00:00"), (3, "tpep_pickup_datetime")]
+    (tmp_path / "b.csv").write_text(f"\n{head}\n")
+    with pytest.raises(ValueError, match="b.csv lacks required columns"):
+        scan_trip_csv(spark, str(tmp_path))
+
+
+def test_upsert_reads_only_the_touched_days(spark, tmp_path, monkeypatch):
+    path, day = str(tmp_path / "t"), 86_400_000
+    tables.upsert_demand_windows(rows(spark, (1, 0, 1), (1, day, 2), (1, 2 * day, 3)), path)
+    plans = []
+    kept = tables.merge_rows
+    monkeypatch.setattr(tables, "merge_rows", lambda *a: plans.append(a[0]._jdf.queryExecution().executedPlan().toString()) or kept(*a))
+    tables.upsert_demand_windows(rows(spark, (1, day, 9)), path)
+    assert "PartitionFilters: [window_day" in plans[0] or "PartitionFilters: [isnotnull(window_day" in plans[0]
+
+
+def test_writer_that_died_while_moving_is_finished(spark, tmp_path, monkeypatch):
+    path, day = str(tmp_path / "t"), 86_400_000
+    tables.upsert_demand_windows(rows(spark, (1, 0, 1), (1, day, 2)), path)
+    finish = tables.finish_move
+    calls = []
+
+    def dies(spark, at, partition=None):
+        calls.append(at)
+        if len(calls) == 2:
+            raise RuntimeError("executor lost")
+        finish(spark, at, partition)
+
+    monkeypatch.setattr(tables, "finish_move", dies)
+    with pytest.raises(RuntimeError):
+        tables.upsert_demand_windows(rows(spark, (1, day, 7), (2, day, 8)), path)
+    monkeypatch.setattr(tables, "finish_move", finish)
+    import shutil
+    shutil.rmtree(tmp_path / "t" / "window_day=1")  # what an overwrite removes first
+    tables.upsert_demand_windows(rows(spark, (3, day, 5)), path)
+    assert {tuple(r) for r in spark.read.parquet(path).select("location_id", "window_start", "trip_count").collect()} == {
+        (1, 0, 1), (1, day, 7), (2, day, 8), (3, day, 5)}
+
+
+def test_dimension_survives_a_dead_writer(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "zones")
+    tables.replace_dimension(spark.createDataFrame([(1, "a")], "location_id int, zone_name string"), path)
+    spark.createDataFrame([(2, "b")], "location_id int, zone_name string").write.parquet(f"{path}__staged")
+    import shutil
+    shutil.rmtree(path)
+    assert [tuple(r) for r in tables.read_dimension(spark, path).collect()] == [(2, "b")]
+
+
+def test_copies_without_an_order_settle_the_same_way(spark):
+    data = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, None, 1)], "k int, v string, n int")
+    both = [sorted(map(tuple, tables.latest_per_key(d, ["k"], None).collect())) for d in (data, data.orderBy("n"))]
+    assert both[0] == both[1] == [(1, "b", 2), (2, None, 1)]

@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +49,55 @@ def test_copies_bad_payloads_and_late_events(spark, tmp_path):
     assert counts(spark, out)[100] == 2 and counts(spark, out)[300] == 1
 
 
+def test_progress_is_a_table(spark, tmp_path):
+    log = streams.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        src = str(tmp_path / "src")
+        send(spark, src, payload("a", 100), "{bad")
+        run(spark, src, str(tmp_path / "out"), str(tmp_path / "mark"))
+        for _ in range(100):
+            if tables.path_exists(spark, str(tmp_path / "progress")) and log.frame().count():
+                break
+            time.sleep(0.1)
+        assert log.frame().agg(F.max("payloads_seen"), F.max("payloads_malformed")).first()[:] == (2, 1)
+    finally:
+        spark.streams.removeListener(log)
+
+
+def test_stream_job_keeps_both_tables(spark, tmp_path):
+    src = str(tmp_path / "src")
+    send(spark, src, payload("a", 100), payload("b", 101))
+    cfg = jobs.JobConfig(str(tmp_path / "lake"))
+    for query in jobs.stream_job(spark, cfg, {"path": src}, NOW):
+        query.awaitTermination()
+    assert spark.read.parquet(cfg.at("demand_windows")).agg(F.sum("trip_count")).first()[0] == 6
+    assert spark.read.parquet(cfg.at("zone_flows")).agg(F.sum("trip_count")).first()[0] == 6
+
+
+def test_validation_leaves_the_callers_cache(spark, matrix):
+    rows = features.assemble_vector(matrix).persist()
+    forecast.walk_forward_validate(rows, TrainConfig(params=SMALL), folds=2)
+    assert rows.is_cached
+    tried = forecast.grid_search(rows, [TrainConfig(params=SMALL), TrainConfig(params={**SMALL, "maxDepth": 1})], folds=1)
+    assert rows.is_cached and len(tried) == 2
+    scores = [report.first()["mean_rmse"] for _, report in tried]
+    assert scores == sorted(scores)
+    rows.unpersist()
+
+
+def test_generic_evaluator_and_unclamped_bounds(spark, matrix):
+    model = forecast.train(matrix, TrainConfig(params=SMALL, clamp=False))
+    scored = forecast.score(model, matrix)
+    assert forecast.evaluator(model.config).evaluate(scored) == pytest.approx(model.metrics["rmse"])
+    low = scored.withColumn("prediction", F.lit(-2.0))
+    from odflux.operators.evaluation import forecast_intervals
+    assert forecast_intervals(low, -1.0, 1.0, clamp=False).first()["forecast_trip_count"] == -2.0
+    assert forecast_intervals(low, -1.0, 1.0).first()["forecast_trip_count"] == 0.0
+    assert {r.location_id for r in forecast.evaluate_by_zone(model, matrix).collect()} == {0, 1, 2}
+    assert forecast.unused_features(model).where("importance > 0").isEmpty()
+
+
 def test_append_mode_emits_only_closed_windows(spark, tmp_path):
     src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
     send(spark, src, payload("a", 100), payload("b", 300))
@@ -97,6 +147,9 @@ def test_attribution_names_the_driver_of_the_forecast(spark, matrix):
     ranked = explain.global_importance(told).collect()
     assert found.fidelity_r2 > 0.8 and ranked[0]["feature"] in ("trip_count", "demand_per_minute")
     assert told.count() == found.holdout.count() * len(found.feature_names)
+    few = explain.fit_surrogate(matrix, rows, sample=200, max_iter=5)
+    assert few.holdout.count() > matrix.count() - 200
+    assert explain.surrogate_fidelity(matrix.limit(20), None).first()["holdout_rows"] == 0
     assert explain.local_contributions(told, 3).groupBy("location_id", "window_start").count().where("count != 3").isEmpty()
     assert explain.fit_surrogate(matrix.limit(20), None) is None
 
@@ -118,7 +171,12 @@ def test_all_jobs_in_order(spark, tmp_path):
         root, folds=2, training=TrainConfig(params=SMALL),
         features=features.FeatureConfig(slide_seconds=900, window_seconds=900, lags=(1, 2), spans=(4,), daily_lag=False,
                                         weekly_lag=False, graph=features.CURRENT))
+    with pytest.raises(ValueError, match="nothing was sent"):
+        jobs.ingest_job(spark, cfg, str(raw), "yellow", tz="UTC", fail_fast=True)
+    jobs.ingest_job(spark, cfg, str(raw), "yellow", tz="UTC", limit=5, sink={"path": str(tmp_path / "few")})
+    assert spark.read.parquet(str(tmp_path / "few")).count() == 5
     jobs.ingest_job(spark, cfg, str(raw), "yellow", tz="UTC")
+    assert spark.read.parquet(cfg.at("rejects")).first()["source_line"] == 36 * 40 + 2
     assert spark.read.parquet(cfg.at("rejects")).count() == 1
     assert spark.read.parquet(cfg.at("ingest_summary")).first()["rows_accepted"] == 36 * 40
     spark.createDataFrame([(z, f"Z{z}", "B1" if z < 5 else "B2", "Core") for z in range(1, 9)],
