@@ -9,7 +9,7 @@ from odflux.functions.columns import (
     round_dp,
     safe_ratio,
 )
-from odflux.functions.session import build_session, cut_lineage, ensure_checkpoint_dir
+from odflux.functions.session import build_session, cut_lineage, ensure_checkpoint_dir, release
 
 __all__ = [
     "build_session",
@@ -20,6 +20,7 @@ __all__ = [
     "interval_millis",
     "long_or_zero",
     "or_zero",
+    "release",
     "round_dp",
     "safe_ratio",
 ]

@@ -57,4 +57,15 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     """
     path = f"{ensure_checkpoint_dir(frame.sparkSession)}/cut-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table._cut_path = path
+    return table
+
+
+def release(frame: DataFrame) -> None:
+    """Delete the table behind a frame of ``cut_lineage`` that no later plan reads; other frames are left alone."""
+    path = getattr(frame, "_cut_path", None)
+    if path:
+        spark = frame.sparkSession
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflux.functions.columns import or_zero
-from odflux.functions.session import cut_lineage
+from odflux.functions.session import cut_lineage, release
 from odflux.operators.projection import distribution
 
 EDGES_PER_SLICE = 250_000
@@ -92,9 +92,10 @@ def pagerank(nodes: DataFrame, edges: DataFrame, max_iter: int = 20, damping: fl
             .agg(F.sum(F.col("share") * F.col("score")).alias("received"))
         )
         score = F.col("base") + F.lit(damping) * or_zero(F.col("received"))
-        # Only the node frame is written each round, so the plan of a round never grows.
-        ranks = cut_lineage(ranks.join(received, "id", "left").select(
+        # Only the node frame is written each round, so the plan of a round never grows; the round before is done with.
+        before, ranks = ranks, cut_lineage(ranks.join(received, "id", "left").select(
             "id", "base", "slices", score.alias("score"), F.abs(score - F.col("score")).alias("shift")))
+        release(before)
         iterations += 1
         if tol > 0:
             shift = ranks.agg(F.max("shift")).first()[0]
@@ -173,7 +174,10 @@ def _relax(sources: DataFrame, links: DataFrame) -> DataFrame:
         )
         if better.isEmpty():
             return best
-        best = cut_lineage(best.join(better, ["source", "node"], "left_anti").unionByName(better))
+        before, best = best, cut_lineage(best.join(better, ["source", "node"], "left_anti").unionByName(better))
+        release(before)
+        if changed is not before:
+            release(changed)
         changed = better
 
 

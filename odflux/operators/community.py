@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,8 +32,8 @@ def coarse(min_size: int) -> dict:
 def require_undirected(spec: GraphSpec) -> None:
     if spec.orientation != UNDIRECTED:
         raise ValueError(
-            f"communities need an undirected projection, but {spec.name} is {spec.orientation}; "
-            "project it with orientation='undirected', for example the COMMUNITY spec"
+            f"{spec.name} lists its edges as {spec.orientation}; give Louvain edges in both directions, "
+            "as GraphSpec(orientation='undirected') makes them"
         )
 
 
@@ -190,6 +192,29 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
     return out.select(*kept)
 
 
+def louvain_summary(edges: DataFrame, found: DataFrame, weight: str | None = "trip_count") -> DataFrame:
+    """(level, communities, modularity, smallest, mean_size, largest, is_meaningful) for each level of ``found``.
+
+    ``found`` is a Louvain result with ``intermediate_ids``; its levels are few by
+    ``max_levels``, and each is one row of sums. Level 0 is the start, one community per node.
+    """
+    links = _folded(edges, weight).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        top = found.agg(F.max(F.size("intermediate_ids"))).first()[0] or 0
+        rows = []
+        for level in range(top + 1):
+            label = F.col("id").cast("long") if level == 0 else F.element_at("intermediate_ids", level)
+            member = found.select("id", label.alias("c"))
+            sizes = member.groupBy("c").count().agg(F.count("*").alias("n"), F.min("count").alias("lo"), F.avg("count").alias("mid"),
+                                                    F.max("count").alias("hi")).first()
+            quality = _modularity(links, member).first()["modularity"]
+            rows.append((level, sizes["n"], quality, sizes["lo"], sizes["mid"], sizes["hi"], quality >= MEANINGFUL_MODULARITY))
+        return found.sparkSession.createDataFrame(
+            rows, "level int, communities long, modularity double, smallest long, mean_size double, largest long, is_meaningful boolean")
+    finally:
+        links.unpersist()
+
+
 # --- stability -------------------------------------------------------------
 
 def shared_zones(previous: DataFrame, current: DataFrame) -> DataFrame:
@@ -255,12 +280,17 @@ def community_volume(flows: DataFrame, assignment: DataFrame, start: int | None
     )
 
 
+def community_members(zones: DataFrame) -> DataFrame:
+    """One row per zone that belongs to a community."""
+    return zones.where(F.col("community_id").isNotNull()).select(F.col("community_id").cast("long").alias("community_id"), "location_id")
+
+
 def community_profiles(zones: DataFrame, flows: DataFrame, start: int | None = None, end: int | None = None,
-                       top_n: int = 5, member_lists: bool = True) -> DataFrame:
+                       top_n: int = 5, member_lists: bool = False) -> DataFrame:
     """Size, leading zones, borough mix, internal and external trips, cohesion.
 
-    ``member_lists=False`` leaves out the per-community id list, the one column
-    whose size grows with a community.
+    ``member_lists=True`` adds the id list of each community, the one column that
+    grows with a community; ``community_members`` has the same as rows.
     """
     if top_n < 1:
         raise ValueError("top_n must be at least 1")
@@ -308,12 +338,16 @@ def weak_communities(profiles: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def analyse_communities(spec: GraphSpec, nodes: DataFrame, edges: DataFrame, zones: DataFrame, flows: DataFrame,
-                        args: dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Detect, compare with the stored partition, profile: (assignments, profiles, drift)."""
+                        args: dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Detect, compare with the stored partition, profile: (assignments, profiles, drift, summary of the levels)."""
     require_undirected(spec)
     if edges.isEmpty():
         raise ValueError(f"projection {spec.name} has no relationships; every zone would be its own community")
-    found = louvain(nodes, edges, **(args or LOUVAIN_PRESETS["catchments"]))
+    chosen = args or LOUVAIN_PRESETS["catchments"]
+    found = cut_lineage(louvain(nodes, edges, **{**chosen, "intermediate": True}))
+    summary = louvain_summary(edges, found, chosen.get("weight", "trip_count"))
+    if not summary.orderBy(F.desc("level")).first()["is_meaningful"]:
+        warnings.warn(f"{spec.name} hardly falls into communities: modularity stays under {MEANINGFUL_MODULARITY}")
     # community ids live in the zone dimension; locations keep their own column name there
     assignments = cut_lineage(found.select(
         F.col("id").cast("int").alias("location_id"), "community_id", F.col("levels").alias("community_levels")))
@@ -323,4 +357,4 @@ def analyse_communities(spec: GraphSpec, nodes: DataFrame, edges: DataFrame, zon
         drift = rand_index(assignments.limit(0), assignments)
     placed = zones.drop("community_id").join(assignments.drop("community_levels"), "location_id", "left")
     profiles = community_profiles(placed, flows, spec.window_from, spec.window_to)
-    return assignments, profiles, drift
+    return assignments, profiles, drift, summary

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odflux.operators.events import EVENT_FIELDS
+
 MAX_DURATION_SECONDS = 86_400
 MAX_DISTANCE_MILES = 500.0
 MAX_SPEED_MPH = 120.0
@@ -23,15 +25,6 @@ AMOUNT_FIELDS = {
     "airport_fee": "airport_fee",
     "ehail_fee": "ehail_fee",
 }
-EVENT_FIELDS = [
-    "event_id", "service_type", "vendor_id", "pickup_time", "dropoff_time",
-    "pickup_epoch_millis", "dropoff_epoch_millis", "trip_duration_seconds",
-    "passenger_count", "trip_distance_miles", "average_speed_mph",
-    "pickup_location_id", "dropoff_location_id", "rate_code_id", "payment_type",
-    "store_and_forward_flag", "fare_amount", "extra_amount", "mta_tax", "tip_amount",
-    "tolls_amount", "improvement_surcharge", "congestion_surcharge", "airport_fee",
-    "ehail_fee", "total_amount", "source_file", "source_line", "ingested_at",
-]
 
 
 def _text(df: DataFrame, name: str) -> Column:

@@ -129,7 +129,8 @@ def graph_cycle(spark: SparkSession, cfg: JobConfig) -> None:
 
     spec = projection.COMMUNITY.over(start, end)
     nodes, edges = _projected(spark, cfg, spec, zones, flows)
-    assignments, profiles, drift = community.analyse_communities(spec, nodes, edges, zones, flows)
+    assignments, profiles, drift, levels = community.analyse_communities(spec, nodes, edges, zones, flows)
+    levels.write.mode("overwrite").parquet(cfg.at("community_levels"))
     # Profiles and drift are still plans over the stored zones, so they are written before those change.
     tables.replace_dimension(profiles, cfg.at("communities"))
     drift.write.mode("overwrite").parquet(cfg.at("community_drift"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from registry.views import VIEWS, render
 
-SLIDE, WIDTH = 7_200_000, 15_360_000          # feature slots: 120 minutes, windows of 256
-DAY_SLOTS = 12
+SLIDE, WIDTH = 300_000, 900_000                # slots of 5 minutes, windows of 15
+DAY_SLOTS = 288
 LAGS, SPANS, HORIZON = (1, 2, 3, 6, 12), (6, 12, 36), 3
 LOOKBACK = 7 * DAY_SLOTS
 YEAR = 31_536_000_000
@@ -200,8 +200,8 @@ RAW_BAD = """CASE WHEN event_id % 101 = 0 THEN 'unparseable_pickup_time'
     WHEN event_id % 109 = 0 THEN 'missing_zone_id'
     WHEN event_id % 127 = 0 THEN 'unparseable_trip_distance'
     WHEN event_id % 137 = 0 THEN 'unparseable_total_amount'
-    WHEN event_id % 113 = 0 OR pu > 265 THEN 'zone_id_out_of_range'
-    WHEN dro > 265 THEN 'zone_id_out_of_range'
+    WHEN event_id % 113 = 0 OR pu > (SELECT n FROM n_zones) THEN 'zone_id_out_of_range'
+    WHEN dro > (SELECT n FROM n_zones) THEN 'zone_id_out_of_range'
     WHEN event_id % 107 = 0 THEN 'non_positive_duration'
     WHEN event_id % 131 = 0 THEN 'distance_out_of_range'
     WHEN speed > 120 THEN 'implausible_speed' END"""
@@ -286,14 +286,14 @@ def profile_sql(having: str, cols: str) -> str:
     return sql(["grid"], f"SELECT {cols} FROM ({rows}) {having}", {"lagged": f"(SELECT *, {lag_cols()}, {dbl('window_end - window_start')} AS span_ms, CASE WHEN trip_count > 0 THEN trip_count END AS busy_trips FROM grid)"})
 
 
-PROFILES = f"""SELECT community_id, size, array_to_string(location_ids, ',') AS location_ids, array_to_string(top_zones, ',') AS top_zones,
+PROFILES = f"""SELECT community_id, size, array_to_string(top_zones, ',') AS top_zones,
     dominant_borough, {r6('dominant_borough_share')} AS dominant_borough_share, borough_spread, internal_trip_count, external_trip_count,
     {r6('cohesion')} AS cohesion FROM prof"""
-PROF = """(SELECT s.community_id, size, location_ids, top_zones, coalesce(b.dominant,'') AS dominant_borough,
+PROF = """(SELECT s.community_id, size, top_zones, coalesce(b.dominant,'') AS dominant_borough,
     coalesce(CAST(b.n AS DOUBLE)/CAST(b.known AS DOUBLE),0) AS dominant_borough_share, coalesce(b.spread,0) AS borough_spread,
     coalesce(i,0) AS internal_trip_count, coalesce(x,0) AS external_trip_count,
     CASE WHEN coalesce(i,0)+coalesce(x,0) > 0 THEN CAST(i AS DOUBLE)/CAST(i+x AS DOUBLE) ELSE 0 END AS cohesion
-    FROM (SELECT community_id, count(*) AS size, list(location_id ORDER BY location_id) AS location_ids,
+    FROM (SELECT community_id, count(*) AS size,
             (list(zone_name ORDER BY importance_score DESC, location_id))[1:5] AS top_zones FROM zones_x WHERE community_id IS NOT NULL GROUP BY 1) s
     LEFT JOIN (SELECT community_id, max(n) AS n, arg_max(borough, {'n': n, 'b': borough}) AS dominant, CAST(sum(n) AS BIGINT) AS known, count(*) AS spread
                FROM (SELECT community_id, borough, count(*) AS n FROM zones_x WHERE community_id IS NOT NULL AND borough <> '' GROUP BY ALL) GROUP BY 1) b
@@ -350,7 +350,7 @@ def oracle_sql() -> dict[str, str]:
         WHEN 'unparseable_pickup_time' THEN 'not a time' WHEN 'unparseable_dropoff_time' THEN '<empty>'
         WHEN 'missing_zone_id' THEN concat('pickup=<empty> dropoff=', dro, '.0') WHEN 'unparseable_trip_distance' THEN 'NaN'
         WHEN 'unparseable_total_amount' THEN 'abc'
-        WHEN 'zone_id_out_of_range' THEN CASE WHEN event_id % 113 = 0 THEN 'pickup=900000' WHEN pu > 265 THEN concat('pickup=', pu) ELSE concat('dropoff=', dro) END
+        WHEN 'zone_id_out_of_range' THEN CASE WHEN event_id % 113 = 0 THEN 'pickup=900000' WHEN pu > (SELECT n FROM n_zones) THEN concat('pickup=', pu) ELSE concat('dropoff=', dro) END
         WHEN 'non_positive_duration' THEN 'duration_seconds=0' WHEN 'distance_out_of_range' THEN 'trip_distance=-1.0'
         ELSE concat('speed_mph=', CAST(speed AS VARCHAR)) END AS detail FROM judged WHERE reason IS NOT NULL""")
     q["reject_breakdown"] = sql(["judged"], "SELECT reason, count(*) AS row_count FROM judged WHERE reason IS NOT NULL GROUP BY reason")
@@ -429,6 +429,8 @@ def oracle_sql() -> dict[str, str]:
     q["score_distribution"] = sql(["scores_f"], f"SELECT {spread_figures('page_rank')} FROM scores_f")
     q["event_value_distribution"] = f"SELECT {spread_figures('value')} FROM events"
     member = {"m": "(SELECT location_id AS id, location_id % 4 AS c FROM zones)"}
+    q["louvain_check"] = sql(["zones_x"], "SELECT count(*) AS nodes, true AS each_once, true AS gains FROM zones_x")
+    q["demand_windows_approx_check"] = sql(["dw15"], "SELECT count(*) AS windows, true AS all_close FROM dw15")
     q["modularity"] = sql(["und", "zones"], f"""SELECT {r6('sum(inside)/sum(total) - sum(total*total)/(sum(total)*sum(total))')} AS modularity FROM (
         SELECT a.c, sum(CASE WHEN a.c = b.c THEN trip_count ELSE 0 END) AS inside, sum(trip_count) AS total FROM und JOIN m a ON a.id = src JOIN m b ON b.id = dst GROUP BY a.c)""", member)
     q["rand_index"] = sql(["parts_a"], f"""SELECT n AS shared_zones, agree AS agreeing_pairs, tot - agree AS disagreeing_pairs, {r6('CAST(agree AS DOUBLE)/tot')} AS rand_index, CAST(agree AS DOUBLE)/tot >= 0.9 AS is_stable
@@ -437,6 +439,7 @@ def oracle_sql() -> dict[str, str]:
     q["shared_zones"] = sql(["dw15", "zones"], "SELECT DISTINCT location_id FROM dw15 WHERE location_id IN (SELECT location_id FROM zones WHERE location_id % 3 <> 0)")
     vol, prof = {"volume": VOLUME}, {"volume": VOLUME, "prof": PROF}
     q["community_volume"] = sql(["fs", "zones_x"], "SELECT community_id, i AS internal_trip_count, x AS external_trip_count FROM volume", vol)
+    q["community_members"] = sql(["zones_x"], "SELECT community_id, location_id FROM zones_x WHERE community_id IS NOT NULL")
     q["community_profiles"] = sql(["fs", "zones_x"], PROFILES, prof)
     q["cross_borough_communities"] = sql(["fs", "zones_x"], PROFILES + " WHERE borough_spread > 1", prof)
     q["weak_communities"] = sql(["fs", "zones_x"], PROFILES + " WHERE cohesion < 0.5", prof)
@@ -444,6 +447,11 @@ def oracle_sql() -> dict[str, str]:
         borough_spread, internal_trip_count, external_trip_count, borough_spread > 1 AS crosses_boroughs FROM prof""", prof)
 
     # features
+    parts = ZERO + CARRY + LAG_COLS
+    figures = ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(parts))
+    norm = " + ".join(f"CASE WHEN s{i} > 0 THEN pow(({c} - m{i}) / s{i}, 2) ELSE 0 END" for i, c in enumerate(parts))
+    q["assemble_vector"] = sql(["grid"], f"""SELECT location_id, window_start, {len(parts)} AS width, round({norm}, 2) AS norm
+        FROM lagged, (SELECT {figures} FROM lagged)""", {"lagged": f"(SELECT *, {lag_cols()} FROM grid)"})
     q["complete_grid"] = sql(["grid"], pick(grid_cols, "grid"))
     q["calendar_features"] = sql(["dw"], pick(["location_id", "window_start"] + CALENDAR, f"(SELECT *, {calendar_cols()} FROM dw)"))
     q["lag_features"] = sql(["grid"], pick(["location_id", "window_start"] + LAG_COLS, f"(SELECT *, {lag_cols()} FROM grid)"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from odflux.functions import ensure_checkpoint_dir
+from odflux.functions import cut_lineage, ensure_checkpoint_dir
 from odflux.operators import centrality, community, evaluation, events, explain, features, forecast, ingest
 from odflux.operators import projection, quality, rules
 from odflux.operators.windows import demand_windows, zone_flows
@@ -16,17 +16,20 @@ from odflux.plans import reports
 from odflux.sources import tables
 from odflux.streaming import queries as streams
 from registry.oracles import (
-    CARRY, DAY_SLOTS, FLOW_COLS, HORIZON, LAG_COLS, LOOKBACK, MID, SCORES, SLIDE, SNAPSHOT_AT, YEAR, ZERO,
+    CARRY, DAY_SLOTS, FLOW_COLS, HORIZON, LAG_COLS, LOOKBACK, MID, SCORES, SLIDE, SNAPSHOT_AT, WIDTH, YEAR, ZERO,
 )
 from registry.views import view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-WIDTH_TEXT, SLIDE_TEXT, YEAR_TEXT = "256 minutes", "120 minutes", "8760 hours"
-CONFIG = features.FeatureConfig(slide_seconds=SLIDE // 1000, window_seconds=15_360, horizon=HORIZON)
+YEAR_TEXT = "8760 hours"
+CONFIG = features.FeatureConfig()
 DAY = 86_400_000
 
 
+KEYS = ["location_id", "window_start"]
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles at six places, so that summation order cannot show."""
     return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
@@ -60,7 +63,7 @@ class Given:
 
     @property
     def windows(self) -> DataFrame:
-        return demand_windows(self.trips, WIDTH_TEXT, SLIDE_TEXT, exact_distinct=True)
+        return self.windows15
 
     @property
     def surges(self) -> DataFrame:
@@ -72,7 +75,7 @@ class Given:
 
     @property
     def flows(self) -> DataFrame:
-        return zone_flows(self.trips, WIDTH_TEXT, SLIDE_TEXT)
+        return self.flows15
 
     @property
     def yearly_flows(self) -> DataFrame:
@@ -80,7 +83,7 @@ class Given:
 
     @property
     def grid(self) -> DataFrame:
-        return features.complete_grid(tables.demand_features(self.surges), self.zones, SLIDE, 15_360_000)
+        return features.complete_grid(tables.demand_features(self.surges), self.zones, SLIDE, WIDTH)
 
     @property
     def communities(self) -> DataFrame:
@@ -125,7 +128,7 @@ class Given:
 
     @property
     def assessed(self) -> DataFrame:
-        return ingest.assess_trips(self.view("raw_trips"), "yellow")
+        return ingest.assess_trips(self.view("raw_trips"), "yellow", zone_range=(1, self.zones.count()))
 
     @property
     def scratch(self) -> str:
@@ -152,7 +155,7 @@ def _(g):
 
 @query("event_ids")
 def _(g):
-    trips, _ = ingest.parse_trips(g.view("raw_trips"), "yellow")
+    trips, _ = ingest.parse_trips(g.view("raw_trips"), "yellow", zone_range=(1, g.zones.count()))
     return ingest.with_event_id(trips, "yellow").select("source_line", "event_id")
 
 
@@ -204,6 +207,17 @@ def _(g):
 query("demand_windows")(lambda g: g.windows15)
 query("demand_windows_approx")(lambda g: demand_windows(g.trips))
 query("zone_flows")(lambda g: g.flows15)
+
+
+@query("demand_windows_approx_check")
+def _(g):
+    """Windows whose estimated destinations lie within four standard errors (0.05 each) or one of the exact number."""
+    told = demand_windows(g.trips).select(*KEYS, F.col("distinct_destinations").alias("about"))
+    off = F.abs(F.col("about") - F.col("distinct_destinations"))
+    return g.windows15.join(told, KEYS).agg(
+        F.count("*").alias("windows"), F.min(off <= F.greatest(F.lit(1.0), 0.2 * F.col("distinct_destinations"))).alias("all_close"))
+
+
 query("tumbling_demand")(lambda g: demand_windows(g.trips, "1 hour", "1 hour", exact_distinct=True))
 
 
@@ -384,6 +398,24 @@ query("event_value_distribution")(lambda g: projection.distribution(g.view("trip
 query("louvain")(lambda g: community.louvain(*g.community_graph))
 
 
+@query("louvain_summary")
+def _(g):
+    nodes, edges = g.community_graph
+    return community.louvain_summary(edges, cut_lineage(community.louvain(nodes, edges, intermediate=True)))
+
+
+@query("louvain_check")
+def _(g):
+    """What any sound partition has: every node once, modularity never under that of single nodes, and levels that only gain."""
+    nodes, edges = g.community_graph
+    found = cut_lineage(community.louvain(nodes, edges, intermediate=True))
+    levels = community.louvain_summary(edges, found)
+    gain = F.col("modularity") >= F.lag("modularity", 1, -1.0).over(Window.orderBy("level")) - 1e-9  # a handful of rows
+    sound = levels.withColumn("gains", gain).agg(F.min("gains").alias("gains"))
+    return (found.agg(F.count("*").alias("nodes"), (F.count("*") == F.count_distinct("id")).alias("each_once"))
+            .crossJoin(sound).select("nodes", "each_once", "gains"))
+
+
 @query("modularity")
 def _(g):
     nodes, edges = g.community_graph
@@ -403,9 +435,10 @@ query("community_volume")(lambda g: community.community_volume(
 
 def _flat(profiles: DataFrame) -> DataFrame:
     joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
-    return profiles.select(*[joined(c) if c in ("location_ids", "top_zones") else F.col(c) for c in profiles.columns])
+    return profiles.select(*[joined(c) if c == "top_zones" else F.col(c) for c in profiles.columns])
 
 
+query("community_members")(lambda g: community.community_members(g.zones_x))
 query("community_profiles")(lambda g: _flat(g.profiles))
 query("cross_borough_communities")(lambda g: _flat(community.cross_borough_communities(g.profiles)))
 query("weak_communities")(lambda g: _flat(community.weak_communities(g.profiles)))
@@ -414,7 +447,6 @@ query("communities_view")(lambda g: reports.communities_view(g.profiles))
 
 # --- features --------------------------------------------------------------
 
-KEYS = ["location_id", "window_start"]
 query("complete_grid")(lambda g: g.grid)
 query("calendar_features")(lambda g: features.calendar_features(g.windows.select(*KEYS)))
 query("lag_features")(lambda g: features.lag_features(g.grid).select(*KEYS, *LAG_COLS))
@@ -471,7 +503,7 @@ def _(g):
     from pyspark.ml.functions import vector_to_array
     vectors = features.assemble_vector(features.lag_features(g.grid), scale=True)
     return vectors.select(*KEYS, F.size(vector_to_array("features")).alias("width"),
-                          F.aggregate(vector_to_array("scaled_features"), F.lit(0.0), lambda a, x: a + x * x).alias("norm"))
+                          F.round(F.aggregate(vector_to_array("scaled_features"), F.lit(0.0), lambda a, x: a + x * x), 2).alias("norm"))
 
 
 # --- evaluation and models -------------------------------------------------
@@ -510,11 +542,9 @@ QUICK = forecast.TrainConfig(params={"maxIter": 5, "maxDepth": 4, "stepSize": 0.
 
 
 def _training_rows(g: Given) -> DataFrame:
-    """Labelled rows written once, as the training job does with its feature store."""
+    """The whole training matrix with its default families, written once, as the training job does with its feature store."""
     path = g.scratch
-    rows = features.target_label(features.rolling_features(features.lag_features(
-        features.calendar_features(g.grid)), (6, 12)), HORIZON)
-    tables.write_feature_store(features.trim_warm_up(rows, 12, SLIDE, g.windows.agg(F.min("window_start")).scalar()), path)
+    tables.write_feature_store(features.training_matrix(g.sources, CONFIG), path)
     return tables.read_feature_store(g.spark, path)
 
 

@@ -125,9 +125,15 @@ def render(name: str, engine: str) -> str:
 
 
 def tables(spark: SparkSession, sf_dir: str) -> None:
-    """Registers the given tables the views read."""
+    """Registers the given tables the views read; their schemas are read once per session and folder."""
     for name in BASE:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        place = (spark.sparkContext.applicationId, sf_dir, name)
+        if place not in _frames:
+            _frames[place] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _frames[place].createOrReplaceTempView(name)
+
+
+_frames: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
