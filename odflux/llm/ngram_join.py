@@ -11,11 +11,13 @@
    phrase that half of all texts contain brings few of them together). A set near
    a band's lower end also sends the parts of the band below. Equal parts join
    sets to blocks; nothing is lost and no pair is listed.
-3. A block is laid out in tiles of bounded size, by size band. Sets meet within a
-   tile and across tiles of the same or the next band. Parity bitmaps bound the
-   overlap of every pair from above; what remains is intersected exactly, unless
-   verified links already connect the two.
-4. Verified links give the components.
+3. A block is laid out in tiles of bounded size, by size band. Bitmaps meet within a
+   tile and across tiles of the same or the next band: the parity of how many
+   members of a set have each hash value. Their bit counts bound the overlap of
+   every pair from above. Pairs that the bound lets pass connect to narrower blocks.
+4. The narrower blocks are laid out in the same way, now with the sets themselves.
+   What the bound lets pass is intersected exactly, unless verified links already
+   connect the two. Verified links give the components.
 """
 
 from __future__ import annotations
@@ -31,9 +33,11 @@ from pyspark.sql import functions as F
 from odflux.llm.common import components, cut_lineage, ship_package, slices
 from odflux.llm.word_arrays import mix, set_id, shingle_sets
 
+#: A tile holds at most so many sets, and so many shingles where the sets themselves are carried.
 TILE_SETS, TILE_SHINGLES = 1_024, 1_000_000
 BAND_GROWTH = 1.5
-PART_SHINGLES = 4
+#: Parts for each shingle that may differ; more make the parts smaller, fewer send more of the small ones.
+PARTS_PER_DIFFERENCE = 1.42
 WIDEST_BITMAP = 4_096
 
 
@@ -53,7 +57,7 @@ class Bands:
             step = max(BAND_GROWTH, 100 / self.percent)
             self.lows.append(math.ceil(self.lows[-1] * step) + 1)
             top = self.lows[-1] - 1
-            self.parts.append(max(most_apart(top, self.percent) + 1, top // PART_SHINGLES))
+            self.parts.append(math.ceil(PARTS_PER_DIFFERENCE * most_apart(top, self.percent)) + 1)
         at = len(self.lows) - 2
         while self.lows[at] > size:
             at -= 1
@@ -100,13 +104,15 @@ def _star_rows(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _sets_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        sizes, ids = [], []
+        sizes, ids, bits = [], [], []
         for a, b in slices(texts):
             for members in shingle_sets(texts[a:b], width):
                 sizes.append(len(members))
                 ids.append(set_id(members))
+                bits.append(bitmap(members).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], ["doc", "size", "set_id"])
+            [batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary())],
+            ["doc", "size", "set_id", "bits"])
 
 
 def _keys_of(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -142,63 +148,95 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
 
 
-def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Row i: for each hash value of the set i, the parity of how many members have it, 64 values a word."""
-    widest = max(map(len, sets))
-    bits = min(WIDEST_BITMAP, max(64, 1 << (widest - 1).bit_length()))
-    out = np.zeros((len(sets), bits // 64), dtype=np.uint64)
-    for i, members in enumerate(sets):
-        odd = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-        out[i] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
-    return out
+def bitmap(members: np.ndarray) -> np.ndarray:
+    """For each hash value, the parity of how many members have it, 64 values a word; about two values a member."""
+    bits = min(WIDEST_BITMAP, max(64, 1 << (2 * len(members) - 1).bit_length())) if len(members) else 64
+    odd = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Linking pairs (places in ``sets``, none empty) that connect whatever all linking pairs connect."""
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    sets = [sets[i] for i in order]
-    sizes = np.array([len(s) for s in sets])
-    maps, label, found = _bitmaps(sets), np.arange(len(sets)), []
+class Folded:
+    """Bitmaps of several widths, each also at every smaller width: the two halves of a parity bitmap add up to the narrower one."""
+
+    def __init__(self, maps: list[np.ndarray]):
+        self.own = [len(m) for m in maps]
+        self.at: dict[int, np.ndarray] = {}
+        for words in sorted(set(self.own), reverse=True):
+            table = np.zeros((len(maps), words), dtype=np.uint64)
+            for i, m in enumerate(maps):
+                if len(m) >= words:
+                    while len(m) > words:
+                        m = m[:len(m) // 2] ^ m[len(m) // 2:]
+                    table[i] = m
+            self.at[words] = table
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Least number of members by which the set i differs from each of the others, none of which has a narrower bitmap."""
+        table = self.at[self.own[i]]
+        return np.bitwise_count(table[others] ^ table[i]).sum(axis=1, dtype=np.int64)
+
+
+def spanning_pairs(sizes: np.ndarray, maps: list[np.ndarray], percent: int, agree=None) -> list[tuple[int, int]]:
+    """Pairs that connect whatever is connected by all pairs that the bitmap bound and ``agree(i, j)`` let pass."""
+    order = np.argsort(sizes, kind="stable")
+    sizes, folded = sizes[order], Folded([maps[i] for i in order])
+    label, found = np.arange(len(sizes)), []
     ends = np.searchsorted(sizes, 100 * sizes // percent, side="right")
-    for i in range(len(sets)):
+    for i in range(len(sizes)):
         rest = np.arange(i + 1, ends[i])
         rest = rest[label[rest] != label[i]]
         if not len(rest):
             continue
-        apart = np.bitwise_count(maps[rest] ^ maps[i]).sum(axis=1, dtype=np.int64)
         total = sizes[rest] + sizes[i]
-        bound = np.minimum((total - apart) // 2, sizes[i])
+        bound = np.minimum((total - folded.apart(i, rest)) // 2, sizes[i])
         for j in rest[100 * bound >= percent * (total - bound)].tolist():
-            if label[j] == label[i]:
-                continue
-            at = np.searchsorted(sets[j], sets[i])
-            at[at == sizes[j]] = 0
-            common = int((sets[j][at] == sets[i]).sum())
-            if 100 * common >= percent * (int(sizes[i]) + int(sizes[j]) - common):
+            if label[j] != label[i] and (agree is None or agree(int(order[i]), int(order[j]))):
                 label[label == label[j]] = label[i]
-                found.append((order[i], order[j]))
+                found.append((int(order[i]), int(order[j])))
     return found
 
 
-def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Verified links of each group of consecutive rows of one meeting; one meeting is held at a time."""
-    now, ids, sets = None, [], []
+def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Linking pairs (places in ``sets``, none empty) that connect whatever all linking pairs connect."""
+    def agree(i: int, j: int) -> bool:
+        small, large = sorted((sets[i], sets[j]), key=len)
+        at = np.searchsorted(large, small)
+        at[at == len(large)] = 0
+        common = int((large[at] == small).sum())
+        return 100 * common >= percent * (len(small) + len(large) - common)
+
+    return spanning_pairs(np.array([len(s) for s in sets]), [bitmap(s) for s in sets], percent, agree)
+
+
+def _met(batches: Iterator[pa.RecordBatch], columns: list[str], pairs) -> Iterator[pa.RecordBatch]:
+    """``pairs(values of the columns)`` of each run of rows of one meeting, as ids; one meeting is held at a time."""
+    now, ids, held = None, [], [[] for _ in columns]
 
     def links() -> pa.RecordBatch:
-        pairs = spanning_links(sets, percent) if len(sets) > 1 else []
-        return pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in pairs], pa.int64()),
-                                           pa.array([ids[j] for _, j in pairs], pa.int64())], ["a", "b"])
+        found = pairs(*held) if len(ids) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found], pa.int64()),
+                                           pa.array([ids[j] for _, j in found], pa.int64())], ["a", "b"])
 
     for batch in batches:
-        meeting, who, lists = batch.column("meeting").to_pylist(), batch.column("id").to_pylist(), batch.column("members")
-        flat, offsets = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+        meeting, who = batch.column("meeting").to_pylist(), batch.column("id").to_pylist()
+        values = []
+        for name in columns:
+            column = batch.column(name)
+            if pa.types.is_list(column.type):
+                flat, offsets = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
+                values.append([flat[a:b].copy() for a, b in zip(offsets[:-1], offsets[1:])])
+            elif pa.types.is_binary(column.type):
+                values.append([np.frombuffer(v, dtype=np.uint64) for v in column.to_pylist()])
+            else:
+                values.append(column.to_pylist())
         for k, m in enumerate(meeting):
             if m != now:
                 yield links()
-                now, ids, sets = m, [], []
+                now, ids, held = m, [], [[] for _ in columns]
             if who[k] not in ids[-1:]:  # rows of one meeting come sorted by id
                 ids.append(who[k])
-                sets.append(flat[offsets[k]:offsets[k + 1]].copy())
+                for kept, value in zip(held, values):
+                    kept.append(value[k])
     yield links()
 
 
@@ -217,12 +255,15 @@ def _members_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "meetings", "members"])
 
 
-def _meetings(classes: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
-    """(doc, id, meetings): for the representative of each class of a block, the tile meetings that it takes part in."""
+def _meetings(classes: DataFrame, blocks: DataFrame, percent: int, carried: str, columns: list[str]) -> DataFrame:
+    """(id, ``columns``, meetings): for each class of a block, the tile meetings it takes part in.
+
+    ``carried`` is what a class weighs in a tile.
+    """
     band = F.floor(F.log("size") / F.lit(math.log(100 / percent))).cast("int")
     inside = (classes.join(blocks.select(F.col("node").alias("id"), F.col("root").alias("block")), "id")
               .withColumn("band", band))
-    counts = inside.groupBy("block", "band").agg(F.count("*").alias("n"), F.sum("size").alias("held"))
+    counts = inside.groupBy("block", "band").agg(F.count("*").alias("n"), F.sum(F.expr(carried)).alias("held"))
     tiles = F.ceil(F.greatest(F.col("n") / TILE_SETS, F.col("held") / TILE_SHINGLES)).cast("int")
     whole = counts.groupBy("block").agg(F.sum("n").alias("all_n"), F.sum("held").alias("all_held"))
     here = counts.select("block", "band", tiles.alias("tiles"))
@@ -235,7 +276,7 @@ def _meetings(classes: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
               .where("own is not null"))
     plan = spread.join(whole, "block").withColumn("small", (F.col("all_n") <= TILE_SETS) & (F.col("all_held") <= TILE_SHINGLES))
     placed = inside.join(plan, ["block", "band"]).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("own").cast("long")).cast("int"))
-    return placed.select("doc", "id", F.expr("""
+    return placed.select("id", *columns, F.expr("""
         case when small then array(xxhash64(block)) else concat(
             transform(sequence(0, own - 1), t -> xxhash64(block, band, least(t, tile), band, greatest(t, tile))),
             if(above = 0, array(), transform(sequence(0, above - 1), t -> xxhash64(block, band, tile, band + 1, t))),
@@ -243,6 +284,11 @@ def _meetings(classes: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
         """).alias("meetings"))
 
 
+def _at_meetings(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return (rows.select(F.explode("meetings").alias("meeting"), "id", *columns)
+            .repartition("meeting").sortWithinPartitions("meeting", "id"))
+
+
 def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``.
 
@@ -260,19 +306,23 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     ship_package(spark)
     source = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
     kind = dict(source.dtypes)["doc"]
-    base = cut_lineage(source.mapInArrow(lambda it: _sets_of(it, width), f"doc {kind}, size long, set_id long"))
+    base = cut_lineage(source.mapInArrow(lambda it: _sets_of(it, width), f"doc {kind}, size long, set_id long, bits binary"))
     keys = source.select("text").mapInArrow(lambda it: _keys_of(it, width, percent), "key long, id long")
     edges = (keys.repartition("key").sortWithinPartitions("key", "id")
              .mapInArrow(_stars, "a long, b long").distinct())
-    blocks = components(edges)
+    wide = components(edges)
     classes = (base.where("size > 0").groupBy(F.col("set_id").alias("id"))
                .agg(F.min("doc").alias("doc"), F.first("size").alias("size")))
-    wanted = _meetings(classes, blocks, percent).withColumnRenamed("doc", "rep")
-    verified = (source.join(wanted, F.col("doc").eqNullSafe(F.col("rep"))).select("text", "id", "meetings")
-                .mapInArrow(lambda it: _members_of(it, width), "id long, meetings array<long>, members array<long>")
-                .select(F.explode("meetings").alias("meeting"), "id", "members")
-                .repartition("meeting").sortWithinPartitions("meeting", "id")
-                .mapInArrow(lambda it: _linked(it, percent), "a long, b long"))
+    candidates = cut_lineage(base.select(F.col("set_id").alias("id"), "size", "bits").where("size > 0")
+                             .join(wide.select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"]))
+    narrow = components(_at_meetings(_meetings(candidates, wide, percent, "1", ["size", "bits"]), ["size", "bits"])
+                        .mapInArrow(lambda it: _met(it, ["size", "bits"], lambda sizes, maps: spanning_pairs(np.array(sizes), maps, percent)),
+                                    "a long, b long"))
+    wanted = _meetings(classes, narrow, percent, "size", ["doc"]).withColumnRenamed("doc", "rep")
+    sets = (source.join(wanted, F.col("doc").eqNullSafe(F.col("rep"))).select("text", "id", "meetings")
+            .mapInArrow(lambda it: _members_of(it, width), "id long, meetings array<long>, members array<long>"))
+    verified = _at_meetings(sets, ["members"]).mapInArrow(
+        lambda it: _met(it, ["members"], lambda members: spanning_links(members, percent)), "a long, b long")
     linked = components(verified)
     roots = (classes.select("id", F.col("doc").alias("least"))
              .join(linked.select(F.col("node").alias("id"), "root"), "id", "left")
