@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.functions.session import cut_lineage, ensure_checkpoint_dir
+from odflux.functions.session import cut_lineage, ensure_checkpoint_dir, release
 
 SLICE_CHARS = 1_000_000
 
@@ -71,7 +71,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         small = (large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                                                                F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
                  .select("e.a", "e.b").where("a <> b").distinct())
-        current = cut_lineage(small)
+        before, current = current, cut_lineage(small)
+        release(before)
         now = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == last:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
