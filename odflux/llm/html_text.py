@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odflux.llm.common import ship_package
+from odflux.llm.common import cut_lineage, ship_package
 
 #: A subtree belongs to the template when this share of the host's distinct pages, and at least so many, hold it.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 5
@@ -278,7 +278,8 @@ def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int = T
     space in a block, line-break elements and table cells become one space. Character
     references are decoded. Repeated rows give repeated results.
     """
-    templates = site_templates(pages, share, least).withColumnRenamed("host", "__host")
+    # Written first, so that Spark knows its size: a small list of hosts goes to the pages, and the pages are not shuffled.
+    templates = cut_lineage(site_templates(pages, share, least)).withColumnRenamed("host", "__host")
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url").cast("string")).alias("host"))
 
     def texts(page: pa.Array, known: pa.Array) -> pa.Array:
