@@ -113,6 +113,15 @@ def test_louvain_finds_planted_communities(spark):
     assert community.modularity(edges, found).first()[0] > 0.6
 
 
+def test_summary_of_levels(spark):
+    nodes, edges = cliques(spark)
+    found = community.louvain(nodes, edges, intermediate=True)
+    levels = community.louvain_summary(edges, found).orderBy("level").collect()
+    assert (levels[0]["communities"], levels[-1]["communities"], levels[-1]["largest"]) == (15, 3, 5)
+    assert [r["modularity"] for r in levels] == sorted(r["modularity"] for r in levels) and levels[-1]["is_meaningful"]
+    assert levels[-1]["modularity"] == pytest.approx(community.modularity(edges, found).first()[0])
+
+
 def test_seeded_louvain_keeps_its_labels(spark):
     nodes, edges = cliques(spark)
     seeded = nodes.withColumn("community_id", (F.floor(F.col("id") / 5) * 100).cast("long"))
@@ -145,3 +154,14 @@ def test_generations_are_retired(spark, tmp_path):
     assert projection.active_projection(spark, root, "zone_flow_volume")[1].count() == 1
     projection.drop_projection(spark, root, "zone_flow_volume")
     assert not path_exists(spark, f"{root}/zone_flow_volume/g=3")
+
+
+def test_superseded_tables_are_deleted(spark):
+    from odflux.functions import cut_lineage, release
+    from odflux.sources.tables import path_exists
+    kept = cut_lineage(spark.range(3))
+    path = kept._cut_path
+    assert path_exists(spark, path) and kept.count() == 3
+    release(kept)
+    release(spark.range(1))
+    assert not path_exists(spark, path)
