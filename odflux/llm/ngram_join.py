@@ -313,8 +313,10 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     wide = components(edges)
     classes = (base.where("size > 0").groupBy(F.col("set_id").alias("id"))
                .agg(F.min("doc").alias("doc"), F.first("size").alias("size")))
-    candidates = cut_lineage(base.select(F.col("set_id").alias("id"), "size", "bits").where("size > 0")
-                             .join(wide.select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"]))
+    # Folded by set first, so that a set with very many copies is one row a task before any shuffle.
+    candidates = cut_lineage(base.where("size > 0").groupBy(F.col("set_id").alias("id"))
+                             .agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
+                             .join(wide.select(F.col("node").alias("id")), "id", "left_semi"))
     narrow = components(_at_meetings(_meetings(candidates, wide, percent, "1", ["size", "bits"]), ["size", "bits"])
                         .mapInArrow(lambda it: _met(it, ["size", "bits"], lambda sizes, maps: spanning_pairs(np.array(sizes), maps, percent)),
                                     "a long, b long"))
