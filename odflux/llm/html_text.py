@@ -43,7 +43,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset("html body article main section div ul ol dl table nav aside header footer form td th blockquote".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# One attribute, each starting where the one before it ends; a quote that nothing closes reaches to the end of the tag.
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/][^\s/=]*+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s]*)))?")
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
@@ -60,8 +61,10 @@ def _described(tag: str, attributes: str) -> tuple[bool, bool]:
     """Whether the attributes say that the element is no article text, and that it is the main part."""
     if not attributes or tag in HEADINGS or tag in ("html", "body"):
         return False, False
+    found: dict[str, str] = {}  # of a repeated attribute the first counts
     for match in _ATTRIBUTE.finditer(attributes):
-        name, value = match[1].lower(), (match[2] or match[3] or match[4] or "").lower()
+        found.setdefault(match[1].lower(), (match[2] or match[3] or match[4] or "").lower())
+    for name, value in found.items():
         if name == "role":
             if value in ROLES:
                 return True, False

@@ -21,6 +21,16 @@ def test_without_article():
     assert ht.main_text("<div>" * 30_000 + "deep") == "deep"
 
 
+def test_attributes_are_read_whole():
+    kept = ('a href="/hidden-gems"', 'p style="overflow:hidden"', 'div data-id="menu"', 'a href="/x?id=ad"', "p title='class=ad'", "p data-hidden",
+            "a href=/x?class=ad", "p title = 'a hidden b'", "p xclass=ad", "div class=a class=ad", 'p title="a>b hidden"', "p title= 'id = menu' lang=en")
+    for tag in kept:
+        assert ht.main_text(f"<body><p>a</p><{tag}>words</{tag.split()[0]}></body>").split() == ["a", "words"], tag
+    for tag in ("p hidden", "p HIDDEN=''", 'p title="x"hidden', "p a/hidden", "div lang=en class = 'ad'", 'div id="menu"', "p aria-hidden=true", "p x= y role=alert"):
+        assert ht.main_text(f"<body><p>a</p><{tag}>words</{tag.split()[0]}></body>") == "a", tag
+    assert ht.main_text('<body><div style="overflow:hidden"><p>the article</p></div></body>') == "the article"
+
+
 def test_templates_are_removed(spark):
     frame = lambda i: f"<body><div>Our shop sells things</div><p>Own text {i} of page.</p><p>Imprint and terms</p></body>"
     rows = [(i, f"http://A.example/{i}", frame(i), "", "") for i in range(20)]
