@@ -38,6 +38,8 @@ NAMES = frozenset("""ad ads adv advert adverts advertisement advertising sponsor
     header masthead footer sidebar aside breadcrumb breadcrumbs comment comments disqus reply replies cookie cookies consent gdpr notice
     notification banner popup modal overlay newsletter subscribe signup login share sharing social related recommended pagination pager
     toolbar widget skip""".split())
+#: Names of what readers or other articles say; an article there is none of the page's own while the page has another.
+OTHERS = frozenset("comment comments disqus reply replies related recommended".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = frozenset("html body article main section div ul ol dl table nav aside header footer form td th blockquote".split())
@@ -52,30 +54,31 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 class Element:
     tag: str
     dropped: bool = False
+    named: frozenset = frozenset()  # of NAMES, those that its class and id say
     main: bool = False
+    holds: bool = False  # whether it is or holds an article or main element
     hash: int = 0
     parts: list = field(default_factory=list)  # elements and texts in order
 
 
-def _described(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes say that the element is no article text, and that it is the main part."""
+def _names(value: str) -> Iterator[str]:
+    """The NAMES in a class or id: whole tokens, or tokens made of nothing but such names and numbers."""
+    for token in value.split():
+        pieces = [p for p in _WORDS.split(token) if p and not p.isdigit()]
+        if NAMES.issuperset(pieces):
+            yield from pieces
+
+
+def _described(tag: str, attributes: str) -> tuple[bool, bool, frozenset]:
+    """Whether the attributes say that the element is no article text, that it is the main part, and the NAMES it has."""
     if not attributes or tag in HEADINGS or tag in ("html", "body"):
-        return False, False
+        return False, False, frozenset()
     found: dict[str, str] = {}  # of a repeated attribute the first counts
     for match in _ATTRIBUTE.finditer(attributes):
         found.setdefault(match[1].lower(), (match[2] or match[3] or match[4] or "").lower())
-    for name, value in found.items():
-        if name == "role":
-            if value in ROLES:
-                return True, False
-            if value == "main":
-                return False, True
-        elif name == "hidden" or name == "aria-hidden" and value == "true":
-            if not value or value in ("true", "hidden"):
-                return True, False
-        elif name in ("class", "id") and not NAMES.isdisjoint(_WORDS.split(value)):
-            return True, False
-    return False, False
+    role = found.get("role", "")
+    dropped = role in ROLES or found.get("hidden") in ("", "true", "hidden") or found.get("aria-hidden") == "true"
+    return dropped, role == "main", frozenset(n for name in ("class", "id") for n in _names(found.get(name, "")))
 
 
 def parse(text: str) -> Element:
@@ -105,9 +108,15 @@ def parse(text: str) -> Element:
             _close(stack, {"p"})
         if tag in CLOSES:
             _close(stack, CLOSES[tag])
-        dropped, main = _described(tag, attributes)
-        own = Element(tag, dropped or tag in NEVER, main or tag == "main")
+        dropped, main, named = _described(tag, attributes)
+        own = Element(tag, dropped or tag in NEVER, named, main or tag == "main")
         stack[-1].parts.append(own)
+        if own.main or tag == "article":
+            own.holds = True
+            for above in reversed(stack):
+                if above.holds:
+                    break
+                above.holds = True
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(text, at)
             inner_end, at = (end.start(), end.end()) if end else (len(text), len(text))
@@ -161,25 +170,31 @@ def hash_subtrees(root: Element) -> list[int]:
     return [h - (1 << 64) if h >> 63 else h for h in found]
 
 
-def _dropped(element: Element, templates: set[int], inside: bool) -> bool:
+def _dropped(element: Element, templates: set[int], inside: bool, others: bool = True) -> bool:
+    """``inside`` an article or main element a header stays; ``others``: whether articles named as others' words go."""
     signed = element.hash - (1 << 64) if element.hash >> 63 else element.hash
-    return element.dropped or element.tag == "header" and not inside or signed in templates
+    if element.dropped or element.tag == "header" and not inside or signed in templates:
+        return True
+    if element.holds:
+        return others and not element.main and not OTHERS.isdisjoint(element.named)
+    return bool(element.named - {"header"} if inside else element.named)
 
 
 def _roots(page: Element, templates: set[int]) -> list[Element]:
-    """Outermost articles that are kept; else the main elements; else the page."""
-    for wanted in (lambda e: e.tag == "article", lambda e: e.main):
-        found, todo = [], [page]
-        while todo:
-            element = todo.pop()
-            if _dropped(element, templates, False):
-                continue
-            if wanted(element):
-                found.append(element)
-            else:
-                todo += [p for p in reversed(element.parts) if isinstance(p, Element)]
-        if found:
-            return found
+    """Outermost articles that are kept; else the main elements; else the page. Articles named as others' words if there is no other."""
+    for others in (True, False):
+        for wanted in (lambda e: e.tag == "article", lambda e: e.main):
+            found, todo = [], [page]
+            while todo:
+                element = todo.pop()
+                if _dropped(element, templates, False, others):
+                    continue
+                if wanted(element):
+                    found.append(element)
+                else:
+                    todo += [p for p in reversed(element.parts) if isinstance(p, Element)]
+            if found:
+                return found
     return [page]
 
 

@@ -31,6 +31,23 @@ def test_attributes_are_read_whole():
     assert ht.main_text('<body><div style="overflow:hidden"><p>the article</p></div></body>') == "the article"
 
 
+def test_names_that_wrap_an_article():
+    for name in ("content has-sidebar", "no-ads", "layout with-menu", "post comment-open", "sidebar", "overlay"):
+        for page in (f'<body><div class="{name}"><article><p>words</p></article></div>', f'<body><article id="a" class="{name}"><p>words</p></article>',
+                     f'<body><div class="{name}"><div><main><p>words</p></main></div></div>', f'<body><div class="{name}"><div role=main>words</div></div>'):
+            assert ht.main_text(page) == "words", page
+    for name in ("content has-sidebar", "no-ads", "layout with-menu"):
+        assert ht.main_text(f'<body><div class="{name}"><p>words</p></div>') == "words", name
+    article = '<article><div class="post-header"><h1>Title</h1></div><div class="header">by</div><p>words</p><div class="{}">no</div></article>'
+    for name in ("sidebar", "x ad y", "cookie-notice", "comments", "widget-2", "Related_Share"):
+        assert ht.main_text(f"<body>{article.format(name)}") == "Title\nby\nwords", name
+    reader = '<div id="comments"><article class="comment">reader</article></div>'
+    assert ht.main_text(f"<body><article><p>words</p></article>{reader}") == "words"
+    assert ht.main_text(f"<body><main><p>words</p>{reader}</main>") == "words"
+    assert ht.main_text(f"<body>{reader}") == "reader"  # the only article there is
+    assert ht.main_text('<body><article class="ad">a</article><div class="promo"><article>b</article></div><article>c</article>') == "a\nb\nc"
+
+
 def test_templates_are_removed(spark):
     frame = lambda i: f"<body><div>Our shop sells things</div><p>Own text {i} of page.</p><p>Imprint and terms</p></body>"
     rows = [(i, f"http://A.example/{i}", frame(i), "", "") for i in range(20)]
