@@ -9,8 +9,11 @@ window for each length class of items, and an item is sketched from each of its
 first three words, so one of them is where a window starts. Only windows that hold
 enough of the class's vocabulary to be within the allowed edits of any of its items
 are walked, which loses nothing. Repetitions are added until edited copies of the items themselves, at
-the greatest allowed distance, are found at the target recall. Each candidate is
-settled by the exact edit distance between the item and the best passage there.
+the greatest allowed distance, are found at the target recall. A length class that
+is not there after ``MOST_REPETITIONS`` (long items, many edits) is found by segments
+instead, which misses nothing: of one segment more than the allowed edits, one
+stands unedited in every copy. Each candidate is settled by the exact edit distance
+between the item and the best passage there.
 """
 
 from __future__ import annotations
@@ -51,6 +54,8 @@ class LengthClass:
     sampled: list[np.ndarray] = field(default_factory=list)
     keys: list[np.ndarray] = field(default_factory=list)  # sorted, one array per repetition and band
     owners: list[np.ndarray] = field(default_factory=list)
+    segment: int = 0  # words of a segment; where set, keys and owners are those of segments, sorted as one
+    offsets: np.ndarray | None = None  # place of each segment in its item
 
 
 def _slot(words: np.ndarray) -> np.ndarray:
@@ -79,6 +84,14 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, multiplie
     return out
 
 
+def run_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the runs of ``size`` words from each start."""
+    out = np.zeros(len(starts), dtype=np.uint64)
+    for step in range(size):
+        out = mix(out + words[starts + step])
+    return out
+
+
 def passage_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(edits, begin, end) of the passage of ``text`` nearest to the item in word edits; the earliest end of several."""
     n = len(text)
@@ -120,6 +133,7 @@ class BenchmarkIndex:
                     self.vocabulary[_slot(self.items[k])] |= np.uint32(1 << len(self.classes) % 32)
                 self.classes.append(LengthClass(low, edits, members))
             low = high
+        self.cut: set[int] = set()  # items found by segments
         bits, draw = np.random.default_rng(seed), random.Random(seed)
         for one in self.classes:
             missed = self._edited(one, draw)
@@ -127,6 +141,8 @@ class BenchmarkIndex:
             while len(one.multipliers) < 2 or (len(missed) > (1 - recall) * tried and len(one.multipliers) < MOST_REPETITIONS):
                 self._repeat(one, bits)
                 missed = [(k, words) for k, words in missed if not self._meets(one, k, words)]
+            if len(missed) > (1 - recall) * tried:
+                self._cut(one)
 
     def _edited(self, one: LengthClass, draw: random.Random) -> list[tuple[int, np.ndarray]]:
         """Copies of items at the greatest allowed distance: words replaced, dropped and put in at random places."""
@@ -156,6 +172,20 @@ class BenchmarkIndex:
             one.keys.append(keys[order, band])
             one.owners.append(np.repeat(one.items, STRIDE)[order])
 
+    def _cut(self, one: LengthClass) -> None:
+        """Finds the class by segments: each item is cut into one more than its edits, which cannot all be edited."""
+        parts = [min(allowed_edits(len(self.items[k]), self.share) + 1, len(self.items[k])) for k in one.items]
+        one.segment = min(len(self.items[k]) // n for k, n in zip(one.items, parts))
+        keys, offsets = [], []
+        for k, n in zip(one.items, parts):
+            offsets.append(np.arange(n) * (len(self.items[k]) // n))
+            keys.append(run_keys(self.items[k], offsets[-1], one.segment))
+        found, owners = np.concatenate(keys), np.repeat(one.items, parts)
+        order = np.argsort(found, kind="stable")
+        one.keys, one.owners, one.offsets = [found[order]], [owners[order]], np.concatenate(offsets)[order]
+        one.multipliers, one.sampled = [], []
+        self.cut.update(one.items)
+
     @staticmethod
     def _meets(one: LengthClass, item: int, words: np.ndarray) -> bool:
         starts = np.arange(0, len(words), STRIDE)[:2]
@@ -168,6 +198,21 @@ class BenchmarkIndex:
                     return True
         return False
 
+    @staticmethod
+    def _segment_candidates(one: LengthClass, words: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+        """(begin of the passage if no word were put in or left out before the segment, item) of each segment in a text."""
+        places = np.arange(len(words) - one.segment + 1)
+        keys = run_keys(words, places, one.segment)
+        a, b = np.searchsorted(one.keys[0], keys, "left"), np.searchsorted(one.keys[0], keys, "right")
+        hit = np.flatnonzero(b > a)
+        if not len(hit):
+            return []
+        size = (b - a)[hit]
+        at = np.repeat(a[hit] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        place = np.repeat(places[hit], size)
+        begin = first[np.searchsorted(first, place, side="right") - 1]
+        return [np.unique(np.stack([np.maximum(place - one.offsets[at], begin), one.owners[0][at]], axis=1), axis=0)]
+
     def find(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, edits, first word, word after the last) of each item found, its best passage of that text."""
         found = split_words([t and t.lower() for t in texts], gap=_GAP)
@@ -180,6 +225,9 @@ class BenchmarkIndex:
         limit = np.repeat(found.first[1:], sizes)[windows]
         candidates: list[np.ndarray] = []
         for number, one in enumerate(self.classes):
+            if one.segment:
+                candidates += self._segment_candidates(one, words, found.first)
+                continue
             total = np.concatenate([[0], np.cumsum((known >> np.uint32(number % 32)) & np.uint32(1), dtype=np.int64)])
             span = one.low - STRIDE + 1
             chosen = total[np.minimum(windows + span, limit)] - total[windows] >= span - one.edits
@@ -208,6 +256,10 @@ class BenchmarkIndex:
             edits = allowed_edits(len(own), self.share)
             begin = max(int(found.first[text]), start - STRIDE - edits)
             end = min(int(found.first[text + 1]), start + len(own) + 2 * edits)
+            if item in self.cut:
+                # A segment's place tells the begin of the passage to within the edits, also that of the windows passed over.
+                end = min(int(found.first[text + 1]), start + len(own) + 3 * edits)
+                done[text, item] = start + edits
             if np.isin(own, words[begin:end]).sum() < len(own) - edits:
                 continue  # too few of its words are here
             done[text, item] = start + edits

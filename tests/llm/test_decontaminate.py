@@ -59,6 +59,27 @@ def test_edited_items_are_found_and_clean_texts_left(spark):
         assert r.edits == nearest(own[r.item_id], plain) <= 0.2 * r.item_words
 
 
+def test_long_items_with_many_edits_are_found():
+    draw = random.Random(5)
+    items = [(i, words(draw, n)) for i, n in enumerate([30] * 5 + [800] * 10)]
+    index = dc.BenchmarkIndex([(i, " ".join(w)) for i, w in items], 0.2, 0.99)
+    texts = []
+    for i, own in items:
+        copy = list(own)
+        for _ in range(dc.allowed_edits(len(own), 0.2)):
+            at, kind = draw.randrange(len(copy)), draw.randrange(3)
+            copy[at:at + (kind != 2)] = [] if kind == 1 else words(draw, 1)
+        texts.append(" ".join(words(draw, draw.randrange(200)) + copy + words(draw, 50)))
+    texts += [" ".join(words(draw, 1000)), None, "", "a"]
+    got = list(index.find(texts))
+    own = {i: w for i, w in items}
+    assert {i for t, i, *_ in got if t == i} >= set(range(5, 15))
+    assert all(t == i for t, i, *_ in got)
+    for t, i, edits, a, b in got[-3:]:
+        assert edits == nearest(own[i], texts[t].split()) == nearest(own[i], texts[t].split()[a:b])
+    assert not list(index.find(["a"])) and not list(index.find([None]))
+
+
 def test_edges(spark, monkeypatch):
     monkeypatch.setattr(dc, "ITEMS_A_PASS", 2)
     item = "Élan one two three four five six seven"
