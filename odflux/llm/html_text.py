@@ -1,8 +1,8 @@
 """Main text of web pages, with site templates removed.
 
 A page becomes a tree. Every element subtree has a hash of its tag and all that it
-holds; subtrees are counted per host over distinct pages in Spark, and those that
-recur on many pages of the host are its template, which is deleted with the
+holds; subtrees are counted per host, and per section of it, over distinct pages in
+Spark, and those that recur on many pages there are its template, deleted with the
 elements that are never part of an article (menus, forms, scripts, adverts,
 comments and so on). What is left of the article is its text, block by block.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from odflux.llm.common import cut_lineage, ship_package
 
-#: A subtree belongs to the template when this share of the host's distinct pages, and at least so many, hold it.
+#: A subtree belongs to the template when this share of the distinct pages of the host or section, and at least so many, hold it.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 5
 
 # Element names by their role in HTML.
@@ -260,6 +260,12 @@ def host_of(url: Column | str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(column, F.lit("")), r"(?s)^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _section_of(url: Column) -> Column:
+    """Host and first folder of the path; null where the page is in no folder."""
+    folder = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/+([^/?#]+)/", 1)
+    return F.when((folder != "") & (host_of(url) != ""), F.concat(host_of(url), F.lit("/"), folder))
+
+
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, hashes = [], []
@@ -268,25 +274,27 @@ def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             rows += [i] * len(own)
             hashes += own
         at = pa.array(np.array(rows, dtype=np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("host").take(at), batch.column("page").take(at), pa.array(hashes, pa.int64())],
-                                         ["host", "page", "hash"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in ("host", "section", "page")], pa.array(hashes, pa.int64())],
+                                         ["host", "section", "page", "hash"])
 
 
 def site_templates(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int = TEMPLATE_PAGES) -> DataFrame:
-    """(host, templates): hashes of the subtrees that recur on many of the host's distinct pages.
+    """(place, templates): hashes of the subtrees that recur on many distinct pages of a place, which is a host or a section of one.
 
-    Pages of equal html count once, so copies of an article are no template. A host's
+    Pages of equal html count once, so copies of an article are no template. A place's
     list has at most ``1 / share`` times the subtrees of its average page, however many
     pages it has. Pages without a host have no template.
     """
     ship_package(pages.sparkSession)
-    rows = (pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
+    url = F.col("url").cast("string")
+    rows = (pages.select(host_of(url).alias("host"), _section_of(url).alias("section"), F.col("html").cast("string").alias("html"))
             .where("host <> '' and html is not null").withColumn("page", F.xxhash64("html")))
-    sizes = rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
-    counts = (rows.mapInArrow(_subtree_rows, "host string, page long, hash long").distinct()
-              .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least))
-    return (counts.join(sizes, "host").where(F.col("n") >= F.lit(share) * F.col("n_pages"))
-            .groupBy("host").agg(F.collect_list("hash").alias("templates")))
+    places = F.explode(F.array_compact(F.array("host", "section"))).alias("place")
+    sizes = rows.select(places, "page").distinct().groupBy("place").agg(F.count("*").alias("n_pages"))
+    counts = (rows.mapInArrow(_subtree_rows, "host string, section string, page long, hash long").select(places, "page", "hash").distinct()
+              .groupBy("place", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least))
+    return (counts.join(sizes, "place").where(F.col("n") >= F.lit(share) * F.col("n_pages"))
+            .groupBy("place").agg(F.collect_list("hash").alias("templates")))
 
 
 def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int = TEMPLATE_PAGES) -> DataFrame:
@@ -297,12 +305,15 @@ def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int = T
     references are decoded. Repeated rows give repeated results.
     """
     # Written first, so that Spark knows its size: a small list of hosts goes to the pages, and the pages are not shuffled.
-    templates = cut_lineage(site_templates(pages, share, least)).withColumnRenamed("host", "__host")
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url").cast("string")).alias("host"))
+    templates = cut_lineage(site_templates(pages, share, least))
+    of_host, of_section = (templates.select(F.col("place").alias(f"__{c}"), F.col("templates").alias(f"of_{c}")) for c in ("host", "section"))
+    url = F.col("url").cast("string")
+    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(url).alias("host"), _section_of(url).alias("section"))
 
     def texts(page: pa.Array, known: pa.Array) -> pa.Array:
         return pa.array([main_text(h, t) for h, t in zip(page.to_pylist(), known.to_pylist())], type=pa.string())
 
-    return (rows.join(templates, rows["host"] == templates["__host"], "left")
-            .select("page_id", "url", F.arrow_udf(texts, "string")("html", "templates").alias("text"))
+    known = F.concat(*[F.coalesce(c, F.array().cast("array<long>")) for c in ("of_host", "of_section")])
+    return (rows.join(of_host, F.col("host") == F.col("__host"), "left").join(of_section, F.col("section") == F.col("__section"), "left")
+            .select("page_id", "url", F.arrow_udf(texts, "string")("html", known).alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

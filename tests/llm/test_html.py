@@ -61,3 +61,14 @@ def test_templates_are_removed(spark):
     assert got[200] == got[201] == [("", 0)]
     assert got[202][0][1] == 199_999
     assert ht.extract_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_templates_of_sections(spark):
+    notice = lambda i: f"<body><p>Own text {i}.</p><p>Prices of the shop</p></body>"
+    rows = [(i, f"http://a.example/shop/{i}", notice(i), "", "") for i in range(8)]
+    rows += [(100 + i, f"http://a.example/{'news' if i % 2 else 'blog'}/x/{i}", f"<body><p>Own text {i}.</p></body>", "", "") for i in range(40)]
+    rows += [(200, "http://a.example/news/y", notice(200), "", ""), (201, "http://a.example/shop", notice(201), "", "")]
+    got = {r.page_id: r.text for r in ht.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i] for i in range(8)] == [f"Own text {i}." for i in range(8)]
+    assert all(got[100 + i] == f"Own text {i}." for i in range(40))
+    assert got[200] == "Own text 200.\nPrices of the shop" and got[201] == "Own text 201.\nPrices of the shop"  # a few pages elsewhere
