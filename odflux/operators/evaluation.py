@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflux.functions.columns import or_zero
+from odflux.operators.quantiles import exact_quantiles
 
 LABEL = "target_trip_count"
 DEVIANCE_FLOOR = 1e-9
@@ -71,11 +72,11 @@ def skill(model_rmse: Column, baseline_rmse: Column) -> Column:
 
 def residual_quantiles(df: DataFrame, probs=(0.05, 0.5, 0.95), exact: bool = False, label: str = LABEL,
                        prediction: str = "prediction") -> DataFrame:
-    """(probability, residual) of prediction minus label; a mergeable sketch unless ``exact``."""
+    """(probability, residual) of prediction minus label; a mergeable sketch, or ranks over all rows if ``exact``."""
     residual = (F.col(prediction) - F.col(label)).cast("double")
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    found = F.percentile(residual, wanted) if exact else F.percentile_approx(residual, wanted, 1000)
-    row = df.where(residual.isNotNull()).agg(found.alias("q"))
+    row = exact_quantiles(df, residual, probs) if exact else df.where(residual.isNotNull()).agg(
+        F.percentile_approx(residual, wanted, 1000).alias("q"))
     return row.select(F.inline(F.arrays_zip(wanted.alias("probability"), F.col("q").alias("residual"))))
 
 

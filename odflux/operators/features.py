@@ -195,21 +195,54 @@ def _seasonal_columns(seasons: dict[str, int]) -> list[Column]:
     return [_lagged("trip_count", slots, name) for name, slots in seasons.items()]
 
 
-def _trailing_columns(spans) -> list[Column]:
-    """Statistics over the ``span`` slots before the current one; the current slot is never inside."""
+def _with_trailing(df: DataFrame, spans) -> DataFrame:
+    """Statistics over the ``span`` slots before the current one; the current slot is never inside.
+
+    The work per row does not grow with the span. Sums and sums of squares are
+    differences of running totals, exact because counts are whole (up to 2**53).
+    Extremes come by doubling: those of 2, 4, 8, ... slots are each made of two of
+    half the length, and a span is covered by two that overlap.
+    """
+    if not spans:
+        return df
+    order = _in_order()
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = lambda c, n: F.lag(c, n).over(order) if n else F.col(c)
     trips = F.col("trip_count")
-    out: list[Column] = []
+    out = df.select("*", F.row_number().over(order).alias("_nth"), F.sum(trips).over(so_far).alias("_sum"),
+                    F.sum(trips * trips).over(so_far).alias("_squares"), trips.alias("_max_1"), trips.alias("_min_1"))
+    lengths = [1]
+    while 2 * lengths[-1] <= max(spans):
+        n = lengths[-1]
+        # A missing neighbour before the zone's first slot is passed over by both.
+        out = out.withColumns({f"_max_{2 * n}": F.greatest(f"_max_{n}", back(f"_max_{n}", n)),
+                               f"_min_{2 * n}": F.least(f"_min_{n}", back(f"_min_{n}", n))})
+        lengths.append(2 * n)
+    lagged = {}
+    for span in spans:
+        half = max(n for n in lengths if n <= span)
+        for c in ("_sum", "_squares"):
+            lagged[f"{c}_1"] = F.coalesce(back(c, 1), F.lit(0.0))
+            lagged[f"{c}_{span + 1}"] = F.coalesce(back(c, span + 1), F.lit(0.0))
+        for c in (f"_max_{half}", f"_min_{half}"):
+            lagged[f"{c}_near"] = back(c, 1)
+            lagged[f"{c}_far_{span}"] = back(c, 1 + span - half)
+    out = out.withColumns(lagged)
+    made: list[Column] = []
     for span in spans:
-        past = _in_order().rowsBetween(-span, -1)
-        mean = or_zero(F.avg(trips).over(past))
-        out += [
+        half = max(n for n in lengths if n <= span)
+        n = F.least(F.col("_nth") - 1, F.lit(span)).cast("double")
+        total, squares = F.col("_sum_1") - F.col(f"_sum_{span + 1}"), F.col("_squares_1") - F.col(f"_squares_{span + 1}")
+        mean = F.when(n > 0, total / n).otherwise(0.0)
+        spread = F.sqrt(F.greatest(n * squares - total * total, F.lit(0.0)) / (n * (n - 1.0)))
+        made += [
             mean.alias(f"trip_count_mean_{span}"),
-            or_zero(F.stddev_samp(trips).over(past)).alias(f"trip_count_stddev_{span}"),
-            or_zero(F.max(trips).over(past)).alias(f"trip_count_max_{span}"),
-            or_zero(F.min(trips).over(past)).alias(f"trip_count_min_{span}"),
+            F.when(n > 1, spread).otherwise(0.0).alias(f"trip_count_stddev_{span}"),
+            or_zero(F.greatest(f"_max_{half}_near", f"_max_{half}_far_{span}")).alias(f"trip_count_max_{span}"),
+            or_zero(F.least(f"_min_{half}_near", f"_min_{half}_far_{span}")).alias(f"trip_count_min_{span}"),
             (trips - mean).alias(f"trip_count_trend_{span}"),
         ]
-    return out
+    return out.select(*df.columns, *made)
 
 
 def _target_columns(horizon: int) -> list[Column]:
@@ -227,7 +260,7 @@ def seasonal_lags(df: DataFrame, slots_per_day: int, daily: bool = True, weekly:
 
 
 def rolling_features(df: DataFrame, spans=(6, 12, 36)) -> DataFrame:
-    return df.select("*", *_trailing_columns(spans))
+    return _with_trailing(df, spans)
 
 
 def target_label(df: DataFrame, horizon: int) -> DataFrame:
@@ -341,15 +374,26 @@ def feature_names(df: DataFrame) -> list[str]:
     return sorted(c for c in df.columns if c not in NON_FEATURES)
 
 
-def assemble_vector(df: DataFrame, scale: bool = False) -> DataFrame:
-    """``features`` from the sorted feature columns; a null there is an error, never a skipped row."""
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
+def fit_scaler(df: DataFrame):
+    """Mean and spread of every feature of ``df``, from one pass, as a stage that is stored and only applied later."""
+    from pyspark.ml.feature import StandardScaler
+
+    rows = df if "features" in df.columns else assemble_vector(df)
+    return StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True, withStd=True).fit(rows)
+
+
+def assemble_vector(df: DataFrame, scale: bool = False, scaler=None) -> DataFrame:
+    """``features`` from the sorted feature columns; a null there is an error, never a skipped row.
+
+    ``scaler``, from ``fit_scaler`` on other rows or from storage, adds ``scaled_features``
+    on the scales it was fitted on; ``scale`` alone fits one on these rows.
+    """
+    from pyspark.ml.feature import VectorAssembler
 
     out = VectorAssembler(inputCols=feature_names(df), outputCol="features", handleInvalid="error").transform(df)
-    if not scale:
-        return out
-    scaler = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True, withStd=True)
-    return scaler.fit(out).transform(out)
+    if scaler is None and scale:
+        scaler = fit_scaler(out)
+    return scaler.transform(out) if scaler is not None else out
 
 
 def feature_profile(df: DataFrame) -> DataFrame:
@@ -377,9 +421,8 @@ def _enriched(sources: FeatureSources, cfg: FeatureConfig, start: int | None, en
               target: bool) -> tuple[DataFrame, DataFrame]:
     demand = demand_features(sources.demand, start, end)
     grid = complete_grid(demand, sources.zones, cfg.slide_ms, cfg.window_seconds * 1000, cfg.min_observed)
-    over_time = [*_lag_columns(cfg.lags), *_seasonal_columns(cfg.seasonal), *_trailing_columns(cfg.spans)]
-    matrix = calendar_features(
-        grid.select("*", *over_time, *(_target_columns(cfg.horizon) if target else [])), cfg.tz)
+    over_time = [*_lag_columns(cfg.lags), *_seasonal_columns(cfg.seasonal), *(_target_columns(cfg.horizon) if target else [])]
+    matrix = calendar_features(_with_trailing(grid, cfg.spans).select("*", *over_time), cfg.tz)
     given = lambda frame, schema: demand.sparkSession.createDataFrame([], schema) if frame is None else frame
     if cfg.graph == CURRENT:
         if target:

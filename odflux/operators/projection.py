@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflux.functions.columns import half_open, or_zero
+from odflux.operators.quantiles import exact_quantiles
 
 NATURAL, REVERSE, UNDIRECTED = "natural", "reverse", "undirected"
 _FOLD = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
@@ -150,18 +151,17 @@ def projection_cardinality(zones: DataFrame, flows: DataFrame, spec: GraphSpec)
 def distribution(frame: DataFrame, column: str, exact: bool = False) -> DataFrame:
     """Min, mean, max, spread and percentiles of a per-node column.
 
-    Percentiles come from a mergeable sketch; ``exact`` keeps every distinct
-    value and suits node tables of ordinary size.
+    Percentiles come from a mergeable sketch; ``exact`` ranks all values, range by range.
     """
     # The reported percentiles.
     marks = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99, "p999": 0.999}
     value = F.col(column).cast("double")
     wanted = F.array(*[F.lit(p) for p in marks.values()])
-    row = frame.agg(
-        F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max"),
-        (F.percentile(value, wanted) if exact else F.percentile_approx(value, wanted, 100_000)).alias("_p"),
-        F.stddev_pop(value).alias("std_dev"),
-    )
+    figures = [F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max"), F.stddev_pop(value).alias("std_dev")]
+    if exact:
+        row = frame.agg(*figures).withColumn("_p", exact_quantiles(frame, value, list(marks.values())).scalar())
+    else:
+        row = frame.agg(*figures, F.percentile_approx(value, wanted, 100_000).alias("_p"))
     return row.select("min", "mean", "max", *[F.col("_p")[i].alias(n) for i, n in enumerate(marks)], "std_dev")
 
 

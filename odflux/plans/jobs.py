@@ -136,14 +136,14 @@ def graph_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     drift.write.mode("overwrite").parquet(cfg.at("community_drift"))
     tables.replace_dimension(tables.persist_communities(zones, assignments), cfg.at("zones"))
     zones = tables.read_dimension(spark, cfg.at("zones"))
-    tables.write_graph_snapshot(zones, spark.read.parquet(cfg.at("communities")), cfg.at("graph_snapshots"), end)
+    tables.write_graph_snapshot(zones, tables.read_dimension(spark, cfg.at("communities")), cfg.at("graph_snapshots"), end)
 
 
 def _sources(spark: SparkSession, cfg: JobConfig) -> FeatureSources:
     optional = lambda name: spark.read.parquet(cfg.at(name)) if tables.path_exists(spark, cfg.at(name)) else None
-    return FeatureSources(
-        spark.read.parquet(cfg.at("demand_windows")), spark.read.parquet(cfg.at("zones")),
-        optional("communities"), optional("zone_flows"), optional("graph_snapshots"))
+    tables.finish_move(spark, cfg.at("communities"))  # a copy that a dead writer left ready
+    return FeatureSources(spark.read.parquet(cfg.at("demand_windows")), tables.read_dimension(spark, cfg.at("zones")),
+                          optional("communities"), optional("zone_flows"), optional("graph_snapshots"))
 
 
 def training_cycle(spark: SparkSession, cfg: JobConfig) -> None:
@@ -154,8 +154,10 @@ def training_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     if stored.isEmpty():
         raise LookupError("no slot has both its history and its target; widen train_from and train_to or shorten the lookback")
     feature_health(stored).write.mode("overwrite").parquet(cfg.at("feature_health"))
-    training = replace(cfg.training, embargo_ms=cfg.features.horizon * cfg.features.slide_ms)
-    rows = assemble_vector(stored, cfg.features.scale).persist()
+    # A scaler is a stage of the model, fitted with it, stored with it and only applied at inference.
+    training = replace(cfg.training, embargo_ms=cfg.features.horizon * cfg.features.slide_ms,
+                       scale=cfg.training.scale or cfg.features.scale)
+    rows = assemble_vector(stored).persist()
     try:
         folds = walk_forward_validate(rows, training, cfg.folds)
         report = validation_report(folds).first()
@@ -174,8 +176,7 @@ def inference_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     latest = _latest(spark, cfg)
     version = saved_version(spark, cfg.at("model")) or cfg.model_version
     model = load_model(cfg.at("model"), spark)
-    rows = assemble_vector(inference_matrix(_sources(spark, cfg), cfg.features, latest, cfg.slots_to_score),
-                           cfg.features.scale)
+    rows = assemble_vector(inference_matrix(_sources(spark, cfg), cfg.features, latest, cfg.slots_to_score))
     produced = forecast(model, rows).persist()
     try:
         if produced.isEmpty():

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from odflux.functions.session import cut_lineage
 
 # Logical trip columns and the header spellings accepted for each,
 # compared after lower-casing and dropping everything but letters and digits.
@@ -72,93 +71,83 @@ def canonicalise_header(df: DataFrame, source: str = "input") -> DataFrame:
 
 
 def list_trip_files(spark: SparkSession, path: str) -> list[str]:
-    """Matching files at ``path`` (one file or a flat folder), by file name."""
+    """Matching files at ``path``, by file name: one file, a flat folder, or a pattern (``*``, ``?``, ``{a,b}``) of such."""
     jvm = spark._jvm
     location = jvm.org.apache.hadoop.fs.Path(path)
     fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = [s.getPath() for s in fs.listStatus(location) if s.isFile()]
+    found = fs.globStatus(location)
+    if not found:
+        raise FileNotFoundError(f"nothing at {path}")
+    files = [f.getPath() for place in found for f in fs.listStatus(place.getPath()) if f.isFile()]
     wanted = [p for p in files if p.getName().lower().endswith(FILE_SUFFIXES)]
-    return [p.toString() for p in sorted(wanted, key=lambda p: p.getName())]
-
+    return [p.toString() for p in sorted(wanted, key=lambda p: (p.getName(), p.toString()))]
 
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of one file, None when it has no line; opens the file, reads one buffer, never the body."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    stream = location.getFileSystem(conf).open(location)
-    try:
-        if path.lower().endswith(".gz"):
-            stream = jvm.java.util.zip.GZIPInputStream(stream)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
-    finally:
-        stream.close()
 
+def _numbered_lines(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(value, source_file, source_path, source_line) of every line, and (source_path, header) of every file with a line.
 
-def _line_numbers(lines: DataFrame) -> DataFrame:
-    """Physical line number inside each file, without gathering a file into one task.
-
-    Reading order inside a split is the order of ``monotonically_increasing_id``;
-    splits of one file are offset by the line counts of the splits before them.
+    The text is read once and written as a table: each line with its split and its
+    place in the reading order there, so numbers do not depend on how a second read
+    would cut the files. One narrow pass over that table gives, per split, its number of
+    lines and its first one; splits of a file follow each other by their place in it.
     """
-    marked = lines.withColumn("_seq", F.monotonically_increasing_id())
-    earlier = (
-        Window.partitionBy("source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    blocks = (
-        marked.groupBy("source_path", "_block")
-        .agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_lines"))
-        .withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
-        .drop("_lines")
-    )
-    return (
-        marked.join(blocks, ["source_path", "_block"])
-        .withColumn("source_line", F.col("_before") + F.col("_seq") - F.col("_first") + 1)
-        .drop("_seq", "_first", "_before")
-    )
+    lines = cut_lineage(spark.read.text(files).select(
+        "value", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq")))
+    earlier = Window.partitionBy("source_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = cut_lineage(
+        lines.groupBy("source_path", "block").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("lines"))
+        .withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0))).drop("lines"))
+    numbered = lines.join(splits, ["source_path", "block"]).select(
+        "value", "source_file", "source_path", (F.col("before") + F.col("seq") - F.col("first") + 1).alias("source_line"))
+    # The first line of the first split, found by its place; no other line is looked at.
+    heads = splits.where("before = 0").select("source_path", F.col("first").alias("seq"))
+    return numbered, lines.join(heads, ["source_path", "seq"]).select("source_path", F.col("value").alias("header"))
 
 
 def scan_trip_csv(spark: SparkSession, path: str) -> DataFrame:
     """All trip files under ``path`` as strings with logical column names and their physical line numbers.
 
-    Only headers are read at planning time. Numbering counts lines per split in a
-    pass of its own, which parses nothing. Line 1 of a file is its header; a later
-    copy of it is a row like any other. A file without a single line is passed
-    over; one whose first line is blank lacks its columns, which is an error.
+    Files of any number of header spellings are read together, once, by Spark tasks;
+    the driver lists the files and sees each distinct header. Line 1 of a file is its
+    header; a later copy of it is a row like any other, and blank lines are no rows. A file
+    without a single line is passed over; one whose first line is blank lacks its
+    columns, which is an error. A column that no header has is left out.
     """
     files = list_trip_files(spark, path)
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda f: _first_line(spark, f), files))
-    groups: dict[str, list[str]] = {}
-    for name, header in zip(files, headers):
-        if header is not None:
-            groups.setdefault(header, []).append(name)
-    if not groups:
+    if not files:
         raise FileNotFoundError(f"no readable trip files at {path}")
-
-    parts = []
-    for header, members in groups.items():
-        names = next(csv.reader([header.lstrip("\ufeff")]), [])
-        absent = [name for name in REQUIRED if name not in logical_columns(names)]
+    numbered, headers = _numbered_lines(spark, files)
+    spellings = headers.groupBy("header").agg(F.min("source_path").alias("example")).orderBy("header").collect()
+    if not spellings:
+        raise FileNotFoundError(f"no readable trip files at {path}")
+    columns = []
+    for header, example in spellings:
+        names = _unique(next(csv.reader([header.lstrip("\ufeff")]), []))
+        found = logical_columns(names)
+        absent = [name for name in REQUIRED if name not in found]
         if absent:
-            raise ValueError(f"{members[0]} lacks required columns: {', '.join(absent)}")
-        fields = [f"c{i}" for i in range(len(names))]
-        schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-        lines = spark.read.text(members).select(
-            "value",
-            F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_path").alias("source_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-        )
-        body = _line_numbers(lines).where((F.col("source_line") > 1) & (F.trim("value") != ""))
-        row = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"'})
-        cells = body.select(row.alias("r"), "source_file", "source_line")
-        spelled = cells.select(
-            *[F.col(f"r.{f}").alias(n) for f, n in zip(fields, _unique(names))], "source_file", "source_line"
-        )
-        parts.append(canonicalise_header(spelled, members[0]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            raise ValueError(f"{example} lacks required columns: {', '.join(absent)}")
+        columns.append((len(names), {logical: names.index(name) for logical, name in found.items()}))
+    width = max(n for n, _ in columns)
+    number = F.lit(0)
+    for i, (header, _) in enumerate(spellings[1:], 1):
+        number = F.when(F.col("header") == header, i).otherwise(number)
+    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {"quote": '"', "escape": '"'})
+    rows = numbered.where((F.col("source_line") > 1) & (F.trim("value") != "")).join(
+        headers.select("source_path", number.alias("spelling")), "source_path")
+    parsed = rows.select(cells.alias("r"), "spelling", "source_file", "source_line")
+
+    def cell(logical: str) -> Column:
+        """The column's cell under each spelling; a cell past a file's own header is none of its columns."""
+        arms = F.lit(None).cast("string")
+        for i, (_, places) in enumerate(columns):
+            if logical in places:
+                arms = F.when(F.col("spelling") == i, F.col(f"r.c{places[logical]}")).otherwise(arms)
+        return arms.alias(logical)
+
+    kept = [logical for logical in HEADER_SPELLINGS if any(logical in places for _, places in columns)]
+    return parsed.select(*[cell(logical) for logical in kept], "source_file", "source_line")
 
 
 def _unique(names: list[str]) -> list[str]:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from odflux.functions.session import cut_lineage, release
 from odflux.operators.events import decode_events, dedup_events
 from odflux.operators.windows import SLIDE, WIDTH, demand_windows, zone_flows
 from odflux.sources.tables import upsert_demand_windows, upsert_zone_flows
@@ -66,26 +68,47 @@ def _start(frame: DataFrame, name: str, checkpoint: str, mode: str, trigger: dic
 
 
 def start_demand_query(trips: DataFrame, out: str, checkpoint: str, mode: str = "update",
-                       trigger: dict | None = None, width: str = WIDTH, slide: str = SLIDE) -> StreamingQuery:
-    """Keeps the demand table at ``out`` up to date; a replayed batch overwrites its own keys."""
+                       trigger: dict | None = None, width: str = WIDTH, slide: str = SLIDE,
+                       sink: Callable[[DataFrame, str], None] = upsert_demand_windows) -> StreamingQuery:
+    """Keeps the demand table at ``out`` up to date; a replayed batch overwrites its own keys.
+
+    Another ``sink(batch, out)`` must bear to be given the same batch again: after a
+    failure between writing a batch and noting it as done, the restarted query repeats it.
+    """
     return _start(demand_windows(trips, width, slide), "zone-demand-windows", checkpoint, mode,
-                  trigger or {"processingTime": "30 seconds"}, lambda rows: upsert_demand_windows(rows, out))
+                  trigger or {"processingTime": "30 seconds"}, lambda rows: sink(rows, out))
 
 
 def start_flow_query(trips: DataFrame, out: str, checkpoint: str, mode: str = "update",
-                     trigger: dict | None = None, width: str = WIDTH, slide: str = SLIDE) -> StreamingQuery:
+                     trigger: dict | None = None, width: str = WIDTH, slide: str = SLIDE,
+                     sink: Callable[[DataFrame, str], None] = upsert_zone_flows) -> StreamingQuery:
     return _start(zone_flows(trips, width, slide), "zone-trip-flows", checkpoint, mode,
-                  trigger or {"processingTime": "30 seconds"}, lambda rows: upsert_zone_flows(rows, out))
+                  trigger or {"processingTime": "30 seconds"}, lambda rows: sink(rows, out))
+
+
+def rows_dropped_late(progress) -> int:
+    """Rows that the state operators of one progress report passed over because the watermark had gone by."""
+    return sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends rates and payload counters of every micro-batch to the table at ``path``; ``frame`` reads them."""
+    """Rates, payload counters and late drops of every micro-batch, as a table at ``path``; ``frame`` reads it.
 
-    SCHEMA = ("query string, batch_id long, input_rows long, input_rows_per_second double, "
-              "processed_rows_per_second double, payloads_seen long, payloads_malformed long")
+    Reports are held until there are ``every`` of them or a query ends, so the log
+    gets a file per ``every`` micro-batches and the listener starts no job in between.
+    At most ``every - 1`` reports are lost with the driver. ``compact`` folds the log's
+    files into one.
+    """
+
+    SCHEMA = ("query string, batch_id long, input_rows long, input_rows_per_second double, processed_rows_per_second double, "
+              "payloads_seen long, payloads_malformed long, rows_dropped_late long")
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._spark, self._path = spark, path
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        if every < 1:
+            raise ValueError("every must be at least 1")
+        self._spark, self._path, self._every = spark, path, every
+        self._held: list[tuple] = []
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -95,15 +118,34 @@ class ProgressLog(StreamingQueryListener):
         seen = p.observedMetrics.get(QUALITY)
         row = (
             p.name, p.batchId, p.numInputRows, float(p.inputRowsPerSecond or 0), float(p.processedRowsPerSecond or 0),
-            seen["payloads_seen"] if seen else 0, seen["payloads_malformed"] if seen else 0,
+            seen["payloads_seen"] if seen else 0, seen["payloads_malformed"] if seen else 0, rows_dropped_late(p),
         )
-        self._spark.createDataFrame([row], self.SCHEMA).coalesce(1).write.mode("append").parquet(self._path)
+        with self._lock:
+            self._held.append(row)
+            full = len(self._held) >= self._every
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
+
+    def flush(self) -> None:
+        """Append what is held; a report is written once, also when several queries end together."""
+        with self._lock:
+            rows, self._held = self._held, []
+            if rows:
+                self._spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self._path)
+
+    def compact(self) -> None:
+        """One file for all that was logged. Not while a query that is listened to runs."""
+        self.flush()
+        with self._lock:
+            whole = cut_lineage(self.frame())
+            whole.coalesce(1).write.mode("overwrite").parquet(self._path)
+            release(whole)
 
     def frame(self) -> DataFrame:
         return self._spark.read.schema(self.SCHEMA).parquet(self._path)

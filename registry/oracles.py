@@ -370,6 +370,18 @@ def oracle_sql() -> dict[str, str]:
     q["tumbling_demand"] = sql(["trips_e"], pick(DEMAND_COLS, f"({demand_sql('trips_e', 3_600_000, 3_600_000)})", DOUBLES))
     q["stream_demand"] = sql(["dw15"], pick(streamed, "dw15", DOUBLES))
     q["stream_flows"] = flows15
+    in_time = f"event_id % 10 <> 0 AND pickup_epoch_millis < {MID + 432_000_000}"
+    late = (f"(event_id % 10 = 0 AND pickup_epoch_millis < {MID + 432_000_000} AND pickup_epoch_millis <= "
+            f"(SELECT max(pickup_epoch_millis) - 600000 FROM trips_e WHERE {in_time}))")
+    q["stream_late_data"] = sql(["trips_e"], f"""SELECT location_id, window_start, trip_count, {r6('total_revenue')} AS total_revenue,
+        (SELECT count(*) FROM trips_e WHERE {late}) AS rows_dropped FROM ({demand_sql('kept', 300_000, 900_000)})""",
+        {"kept": f"(SELECT * FROM trips_e WHERE NOT {late})"})
+    q["stream_restart"] = sql(["dw15", "fl15"], f"""SELECT 'demand' AS kind, location_id AS origin_id, CAST(0 AS INT) AS destination_id, window_start, trip_count, {r6('total_revenue')} AS total_revenue FROM dw15
+        UNION ALL SELECT 'flow', origin_id, destination_id, window_start, trip_count, {r6('total_revenue')} FROM fl15""")
+    q["stream_progress"] = sql(["trips_e"], "SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS payloads_malformed, CAST(0 AS BIGINT) AS rows_dropped, CAST(4 AS BIGINT) AS filled_batches, true AS each_once FROM trips_e")
+    q["scan_trip_files"] = sql(["raw_trips"], """SELECT """ + ", ".join(f"coalesce({c}, '') AS {c}" for c in (
+        "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "pickup_location_id", "dropoff_location_id", "total_amount"))
+        + """, row_number() OVER (PARTITION BY source_line // 2000, source_line % 3 ORDER BY source_line) + 1 AS source_line FROM raw_trips""")
     q["load_demand_windows"] = sql(["demand_f"], pick(["location_id", "window_start", "window_end"] + ZERO + CARRY, f"demand_f WHERE window_start >= {MID} AND window_start < {MID + 432_000_000}"))
     q["feature_store_roundtrip"] = sql(["demand_f"], pick(
         ["location_id", "window_start", "window_end"] + ZERO + CARRY + ["window_day"],

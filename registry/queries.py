@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
 
 from odflux.functions import cut_lineage, ensure_checkpoint_dir
 from odflux.operators import centrality, community, evaluation, events, explain, features, forecast, ingest
@@ -14,6 +15,7 @@ from odflux.operators import projection, quality, rules
 from odflux.operators.windows import demand_windows, zone_flows
 from odflux.plans import reports
 from odflux.sources import tables
+from odflux.sources.trip_files import scan_trip_csv
 from odflux.streaming import queries as streams
 from registry.oracles import (
     CARRY, DAY_SLOTS, FLOW_COLS, HORIZON, LAG_COLS, LOOKBACK, MID, SCORES, SLIDE, SNAPSHOT_AT, WIDTH, YEAR, ZERO,
@@ -272,14 +274,19 @@ def _(g):
         "location_id", "window_start", "window_end", *ZERO, *CARRY, F.col(tables.PARTITION).cast("long").alias(tables.PARTITION))
 
 
+def _payload_rows(trips: DataFrame) -> DataFrame:
+    """Trips as published event records."""
+    names = [f.name for f in events.EVENT_SCHEMA.fields]
+    told = trips.withColumn("event_id", F.col("event_id").cast("string"))
+    kept = [c for c in told.columns if c in names]
+    return told.select(F.col("pickup_location_id").cast("string").alias("key"), F.to_json(F.struct(*kept)).alias("value"),
+                       F.col("pickup_epoch_millis").alias("event_millis"))
+
+
 def _payload_files(g: Given) -> str:
     """The trips as published event files, for the stream to read."""
     path = g.scratch
-    names = [f.name for f in events.EVENT_SCHEMA.fields]
-    trips = g.trips.withColumn("event_id", F.col("event_id").cast("string"))
-    kept = [c for c in trips.columns if c in names]
-    (trips.select(F.col("pickup_location_id").cast("string").alias("key"), F.to_json(F.struct(*kept)).alias("value"),
-                  F.col("pickup_epoch_millis").alias("event_millis")).write.parquet(path))
+    _payload_rows(g.trips).write.parquet(path)
     return path
 
 
@@ -293,6 +300,114 @@ def _run_stream(g: Given, start) -> DataFrame:
 
 query("stream_demand")(lambda g: _run_stream(g, streams.start_demand_query).drop("distinct_destinations"))
 query("stream_flows")(lambda g: _run_stream(g, streams.start_flow_query).select(*FLOW_COLS))
+
+
+@query("stream_late_data")
+def _(g):
+    """Three deliveries, each read by a query that takes up where the last one stopped.
+
+    Every tenth event is held back to the third delivery, when the watermark has gone
+    past most of them; the first two are in time. Rows per window, and the number of rows
+    that the state operators say they passed over.
+    """
+    src, out, mark = g.scratch, g.scratch, g.scratch
+    at, held = F.col("pickup_epoch_millis"), F.col("event_id") % 10 == 0
+    dropped = 0
+    for delivery in (~held & (at < MID), ~held & (at >= MID) & (at < MID + 5 * DAY), (held & (at < MID + 5 * DAY)) | (at >= MID + 5 * DAY)):
+        _payload_rows(g.trips.where(delivery)).write.mode("append").parquet(src)
+        trips = streams.trip_stream(streams.read_event_stream(g.spark, {"path": src}))
+        run = streams.start_demand_query(trips, out, mark, "update", {"availableNow": True})
+        run.awaitTermination()
+        dropped += sum(streams.rows_dropped_late(p) for p in run.recentProgress)
+    return g.spark.read.parquet(out).select(*KEYS, "trip_count", "total_revenue", F.lit(dropped).cast("long").alias("rows_dropped"))
+
+
+def _breaking(sink: Callable[[DataFrame, str], None], good_batches: int) -> Callable[[DataFrame, str], None]:
+    """The sink, until one batch after ``good_batches`` is written but the writer stops before it is noted as done."""
+    written: list[int] = []
+
+    def write(batch: DataFrame, out: str) -> None:
+        sink(batch, out)
+        written.append(1)
+        if len(written) > good_batches:
+            raise RuntimeError("stopped between batch and commit")
+    return write
+
+
+@query("stream_restart")
+def _(g):
+    """Both queries over one source, a few files a batch; both stop after a write and before its commit, and start again."""
+    src, outs, marks = g.scratch, {"demand": g.scratch, "flow": g.scratch}, {"demand": g.scratch, "flow": g.scratch}
+    _payload_rows(g.trips).repartition(6).write.parquet(src)
+    starts = {"demand": (streams.start_demand_query, tables.upsert_demand_windows), "flow": (streams.start_flow_query, tables.upsert_zone_flows)}
+    for broken in (True, False):
+        runs = []
+        for name, (start, sink) in starts.items():
+            payloads = streams.read_event_stream(g.spark, {"path": src}, max_files_per_trigger=2)
+            # Files come in no order of time here, so the watermark waits for the whole range of the events.
+            runs.append(start(streams.trip_stream(payloads, "40 days"), outs[name], marks[name], "update", {"availableNow": True},
+                              sink=_breaking(sink, 1) if broken else sink))
+        stopped = 0
+        for run in runs:
+            try:
+                run.awaitTermination()
+            except StreamingQueryException:
+                stopped += 1
+        if stopped != (len(runs) if broken else 0):
+            raise RuntimeError(f"{stopped} queries stopped")
+    demand, flow = (g.spark.read.parquet(outs[n]) for n in ("demand", "flow"))
+    return demand.select(F.lit("demand").alias("kind"), F.col("location_id").alias("origin_id"), F.lit(0).alias("destination_id"),
+                         "window_start", "trip_count", "total_revenue").unionByName(
+        flow.select(F.lit("flow").alias("kind"), "origin_id", "destination_id", "window_start", "trip_count", "total_revenue"))
+
+
+@query("stream_progress")
+def _(g):
+    """What the progress log says of a run in batches: rows read in all, payloads seen, and whether no batch is told twice."""
+    log = streams.ProgressLog(g.spark, g.scratch)
+    src = g.scratch
+    _payload_rows(g.trips).repartition(4).write.parquet(src)
+    g.spark.streams.addListener(log)
+    try:
+        trips = streams.trip_stream(streams.read_event_stream(g.spark, {"path": src}, max_files_per_trigger=1), "40 days")
+        run = streams.start_demand_query(trips, g.scratch, g.scratch, "update", {"availableNow": True})
+        run.awaitTermination()
+        g.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        g.spark.streams.removeListener(log)
+    log.compact()
+    told = log.frame().where(F.col("query") == "zone-demand-windows")
+    return told.agg(F.sum("input_rows").alias("input_rows"), F.max("payloads_malformed").alias("payloads_malformed"),
+                    F.sum("rows_dropped_late").alias("rows_dropped"), F.count_if(F.col("input_rows") > 0).alias("filled_batches"),
+                    (F.count("*") == F.count_distinct("batch_id")).alias("each_once"))
+
+
+# Three spellings of the same columns, as three publishers would write them.
+SPELLED = [
+    {"vendor_id": "VendorID", "pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime", "passenger_count": "passenger_count",
+     "trip_distance": "trip_distance", "pickup_location_id": "PULocationID", "dropoff_location_id": "DOLocationID", "total_amount": "total_amount"},
+    {"pickup_location_id": "PU Location ID", "dropoff_location_id": "DO Location ID", "vendor_id": "vendor_name", "pickup_datetime": "lpep_pickup_datetime",
+     "dropoff_datetime": "Lpep_dropoff_datetime", "total_amount": "Total_Amount", "trip_distance": "Trip Distance", "passenger_count": "Passenger_Count"},
+    {"total_amount": "TOTAL AMOUNT", "trip_distance": "tripDistance", "pickup_datetime": "Pickup Date", "dropoff_datetime": "DropOff Date",
+     "dropoff_location_id": "dropoff_location_id", "pickup_location_id": "pickup_location_id", "passenger_count": "passengerCount", "vendor_id": "vendorID"},
+]
+ROWS_PER_FILE = 2_000
+
+
+@query("scan_trip_files")
+def _(g):
+    """The raw rows written as files of three header spellings, and scanned back with their line numbers."""
+    root = g.scratch
+    raw = g.view("raw_trips").withColumn("block", F.floor(F.col("source_line") / ROWS_PER_FILE))
+    for k, spelling in enumerate(SPELLED):
+        rows = raw.where(F.col("source_line") % 3 == k).repartition("block").sortWithinPartitions("block", "source_line")
+        (rows.select("block", *[F.col(c).alias(name) for c, name in spelling.items()]).write.partitionBy("block").options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/spelling={k}"))
+    scanned = scan_trip_csv(g.spark, f"{root}/spelling=*/block=*")
+    told = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return scanned.select(*[told(c) for c in SPELLED[0]], F.col("source_line").cast("long").alias("source_line"))
+
+
 query("zone_graph_features")(lambda g: tables.zone_graph_features(g.zones_x))
 query("graph_snapshot")(lambda g: tables.graph_snapshot(g.zones_x, g.communities, SNAPSHOT_AT))
 
