@@ -9,15 +9,17 @@ one round at most, and the plan of a round stays the same size.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odflux.functions.columns import or_zero
-from odflux.functions.session import cut_lineage, release
+from odflux.functions.session import cut_lineage, ensure_checkpoint_dir, release
 from odflux.operators.projection import distribution
 
 EDGES_PER_SLICE = 250_000
@@ -140,22 +142,44 @@ def _sources(nodes: DataFrame, sample: int | None, seed: int | None) -> DataFram
     return ids.orderBy(F.xxhash64("source", F.lit(seed or 0)), "source").limit(sample)
 
 
-def _hop_levels(sources: DataFrame, links: DataFrame) -> list[DataFrame]:
-    """Breadth-first rounds: frame k holds (source, node, paths) at distance k."""
-    frontier = cut_lineage(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("paths")))
-    seen = frontier.select("source", "node")
-    levels = [frontier]
-    while True:
-        reached = (
+class _LevelTable:
+    """Rows of all rounds of one run in one table, a folder per level: a round adds its folder, a reader prunes to a level."""
+
+    def __init__(self, spark: SparkSession, columns: str):
+        self.spark, self.columns, self.levels = spark, columns, 0
+        self.path = f"{ensure_checkpoint_dir(spark)}/levels-{uuid.uuid4().hex}"
+
+    def put(self, frame: DataFrame, level: int | None = None) -> DataFrame:
+        level = self.levels if level is None else level
+        frame.write.parquet(f"{self.path}/level={level}")
+        self.levels = max(self.levels, level + 1)
+        return self.at(level)
+
+    def whole(self) -> DataFrame:
+        return self.spark.read.schema(f"{self.columns}, level int").parquet(self.path)
+
+    def at(self, level: int) -> DataFrame:
+        return self.spark.read.schema(self.columns).parquet(f"{self.path}/level={level}")
+
+    def drop(self) -> None:
+        location = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        location.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def _columns_of(nodes: DataFrame, more: str) -> str:
+    kind = dict(nodes.dtypes)["id"]
+    return f"source {kind}, node {kind}, {more}"
+
+
+def _hop_levels(sources: DataFrame, links: DataFrame, table: _LevelTable) -> None:
+    """Breadth-first rounds: level k of ``table`` holds (source, node, paths) at distance k."""
+    frontier = table.put(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("paths")))
+    while not frontier.isEmpty():
+        frontier = table.put(
             frontier.join(links, F.col("node") == F.col("src"))
             .groupBy("source", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
-            .join(seen, ["source", "node"], "left_anti")
-        )
-        frontier = cut_lineage(reached)
-        if frontier.isEmpty():
-            return levels
-        levels.append(frontier)
-        seen = seen.unionByName(frontier.select("source", "node"))
+            .join(table.whole().select("source", "node"), ["source", "node"], "left_anti"))
+    table.levels -= 1  # the last one is empty
 
 
 def _relax(sources: DataFrame, links: DataFrame) -> DataFrame:
@@ -181,8 +205,8 @@ def _relax(sources: DataFrame, links: DataFrame) -> DataFrame:
         changed = better
 
 
-def _weighted_levels(sources: DataFrame, links: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Shortest-path levels by longest hop count, and the shortest-path links themselves."""
+def _weighted_levels(sources: DataFrame, links: DataFrame, table: _LevelTable) -> DataFrame:
+    """Shortest-path levels by longest hop count go to ``table``; the shortest-path links themselves are returned."""
     best = _relax(sources, links)
     arrive = best.select("source", F.col("node").alias("dst"), F.col("cost").alias("there"))
     tight = cut_lineage(
@@ -202,78 +226,120 @@ def _weighted_levels(sources: DataFrame, links: DataFrame) -> tuple[list[DataFra
         )
         if raised.isEmpty():
             break
-        depth = cut_lineage(
+        before, depth = depth, cut_lineage(
             depth.join(raised.withColumn("_up", F.lit(step)), ["source", "node"], "left")
             .select("source", "node", F.coalesce("_up", "level").alias("level"))
         )
-    levels = [cut_lineage(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("paths")))]
-    done = levels[0]
+        if step > 1:  # the first round's frontier is read from it
+            release(before)
+    table.put(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("paths")))
     for k in range(1, step):
         at_k = depth.where(F.col("level") == k).select("source", F.col("node").alias("dst"))
-        counted = cut_lineage(
+        table.put(
             tight.join(at_k, ["source", "dst"])
-            .join(done.withColumnRenamed("node", "src"), ["source", "src"])
-            .groupBy("source", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
-        )
-        levels.append(counted)
-        done = cut_lineage(done.unionByName(counted))
-    return levels, tight
+            .join(table.whole().select("source", F.col("node").alias("src"), "paths"), ["source", "src"])
+            .groupBy("source", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths")))
+    release(depth)
+    release(best)
+    return tight
 
 
-def betweenness(nodes: DataFrame, edges: DataFrame, sample: int | None = None, seed: int | None = None,
-                weight: str | None = None, directed: bool = True) -> DataFrame:
-    """(id, score): shortest paths through each node, ends excluded.
+def _dependencies(nodes: DataFrame, edges: DataFrame, sources: DataFrame, weight: str | None) -> DataFrame:
+    """(id, total, squares, sources) of every node that lies between: sums over the sources of its share of their shortest paths.
 
-    Exact over all sources, or over ``sample`` sources picked by a seeded hash.
-    With ``weight`` a path costs the sum of that (positive) edge column. A graph
-    listed in both directions counts every pair twice; ``directed=False`` halves.
+    All rounds of a run are folders of two tables, paths forwards and credit
+    backwards, which are deleted at its end; no plan is a union that grows by the round.
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     links = (
         edges.where(F.col("src") != F.col("dst"))
         .groupBy("src", "dst").agg(F.min(w).alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
     )
-    sources = _sources(nodes, sample, seed)
-    if weight:
-        if not links.where(F.col("w").isNull() | (F.col("w") <= 0)).isEmpty():
-            raise ValueError(f"path costs in {weight!r} must be positive")
-        levels, tight = _weighted_levels(sources, links)
-    else:
-        levels, tight = _hop_levels(sources, links), None
-
-    # Backwards: each node hands its share to the nodes right before it on shortest paths.
-    all_paths = levels[0]
-    for level in levels[1:]:
-        all_paths = all_paths.unionByName(level)
-    pending = levels[0].select("source", "node", F.lit(0.0).alias("credit")).limit(0)
-    totals = None
-    for k in range(len(levels) - 1, 0, -1):
-        carried = levels[k].join(
-            pending.groupBy("source", "node").agg(F.sum("credit").alias("credit")), ["source", "node"], "left"
-        ).select("source", "node", "paths", or_zero(F.col("credit")).alias("credit"))
-        carried = cut_lineage(carried)
-        part = carried.groupBy("node").agg(F.sum("credit").alias("credit"))
-        totals = part if totals is None else totals.unionByName(part)
-        giver = carried.select("source", F.col("node").alias("dst"),
-                               ((1.0 + F.col("credit")) / F.col("paths")).alias("unit"))
-        if tight is None:
-            before = levels[k - 1].withColumnRenamed("node", "src")
-            given = giver.join(links.select("src", "dst"), "dst").join(before, ["source", "src"])
+    sources = cut_lineage(sources)
+    spark, tight = nodes.sparkSession, None
+    paths = _LevelTable(spark, _columns_of(nodes, "paths double"))
+    credits = _LevelTable(spark, _columns_of(nodes, "paths double, credit double"))
+    handed = _LevelTable(spark, _columns_of(nodes, "credit double"))
+    try:
+        if weight:
+            if not links.where(F.col("w").isNull() | (F.col("w") <= 0)).isEmpty():
+                raise ValueError(f"path costs in {weight!r} must be positive")
+            tight = _weighted_levels(sources, links, paths)
         else:
-            before = all_paths.withColumnRenamed("node", "src")
-            given = giver.join(tight, ["source", "dst"]).join(before, ["source", "src"])
-        handed = given.select("source", F.col("src").alias("node"), (F.col("paths") * F.col("unit")).alias("credit"))
-        pending = handed if tight is None else cut_lineage(pending.unionByName(handed))
-    out = nodes.select("id")
-    if totals is None:
-        result = out.withColumn("score", F.lit(0.0))
-    else:
-        halves = 1.0 if directed else 0.5
-        summed = totals.groupBy(F.col("node").alias("id")).agg((F.sum("credit") * halves).alias("score"))
-        result = out.join(summed, "id", "left").select("id", or_zero(F.col("score")).alias("score"))
-    result = cut_lineage(result)
-    links.unpersist()
-    return result
+            _hop_levels(sources, links, paths)
+        last = paths.levels - 1
+        # Backwards: each node hands its share to the nodes right before it on shortest paths.
+        for k in range(last, 0, -1):
+            here = paths.at(k)
+            if k == last:
+                credited = here.withColumn("credit", F.lit(0.0))
+            else:
+                # By hops only the level after hands anything to this one; by cost any later level may.
+                came = (handed.at(k + 1) if tight is None else handed.whole()).groupBy("source", "node").agg(F.sum("credit").alias("credit"))
+                credited = here.join(came, ["source", "node"], "left").select("source", "node", "paths", or_zero(F.col("credit")).alias("credit"))
+            giver = credits.put(credited, k).select("source", F.col("node").alias("dst"), ((1.0 + F.col("credit")) / F.col("paths")).alias("unit"))
+            if k == 1:
+                break  # what is left goes to the sources themselves
+            if tight is None:
+                given = giver.join(links.select("src", "dst"), "dst").join(paths.at(k - 1).withColumnRenamed("node", "src"), ["source", "src"])
+            else:
+                given = giver.join(tight, ["source", "dst"]).join(
+                    paths.whole().select("source", F.col("node").alias("src"), "paths"), ["source", "src"])
+            handed.put(given.select("source", F.col("src").alias("node"), (F.col("paths") * F.col("unit")).alias("credit")), k)
+        if last < 1:
+            return cut_lineage(nodes.select("id", F.lit(0.0).alias("total"), F.lit(0.0).alias("squares")))
+        summed = credits.whole().groupBy(F.col("node").alias("id")).agg(
+            F.sum("credit").alias("total"), F.sum(F.col("credit") * F.col("credit")).alias("squares"))
+        return cut_lineage(nodes.select("id").join(summed, "id", "left").select(
+            "id", or_zero(F.col("total")).alias("total"), or_zero(F.col("squares")).alias("squares")))
+    finally:
+        links.unpersist()
+        for table in (paths, credits, handed):
+            table.drop()
+        if tight is not None:
+            release(tight)
+        release(sources)
+
+
+def betweenness(nodes: DataFrame, edges: DataFrame, sample: int | None = None, seed: int | None = None,
+                weight: str | None = None, directed: bool = True) -> DataFrame:
+    """(id, score): shortest paths through each node, ends excluded.
+
+    Exact over all sources, or the part that ``sample`` sources, picked by a seeded
+    hash, account for; ``betweenness_estimate`` scales that up and says how far off it may be.
+    With ``weight`` a path costs the sum of that (positive) edge column. A graph
+    listed in both directions counts every pair twice; ``directed=False`` halves.
+    """
+    halves = 1.0 if directed else 0.5
+    found = _dependencies(nodes, edges, _sources(nodes, sample, seed), weight)
+    return found.select("id", (F.col("total") * halves).alias("score"))
+
+
+def betweenness_estimate(nodes: DataFrame, edges: DataFrame, sample: int, seed: int = 42, weight: str | None = None,
+                         directed: bool = True, doubt: float = 0.05) -> DataFrame:
+    """(id, score, error_bound) from ``sample`` seeded pivots; rounds keep sample x nodes rows, not nodes x nodes.
+
+    A node's share of one source's paths lies between 0 and n - 2. With probability
+    1 - ``doubt``, over the draw of the pivots, every node's exact score is within its
+    bound: the lesser of Hoeffding's, from that range, and the empirical Bernstein
+    bound, from the spread over the pivots, each at half the doubt shared by all nodes. All
+    nodes as pivots give exact scores and a bound of 0.
+    """
+    if sample < 1 or not 0 < doubt < 1:
+        raise ValueError("at least one pivot, and a doubt within (0, 1)")
+    n = nodes.count()
+    k = min(sample, n)
+    found = _dependencies(nodes, edges, _sources(nodes, sample, seed), weight)
+    halves, most = 1.0 if directed else 0.5, float(max(n - 2, 0))
+    if not k:
+        return found.select("id", F.col("total").alias("score"), F.lit(0.0).alias("error_bound"))
+    # Two sides, two bounds and n nodes share the doubt.
+    hoeffding = F.lit(most * math.sqrt(math.log(4.0 * n / doubt) / (2.0 * k)))
+    one = math.log(8.0 * n / doubt)
+    spread = F.greatest(F.col("squares") - F.col("total") * F.col("total") / k, F.lit(0.0)) / max(k - 1, 1)
+    bernstein = F.sqrt(spread * 2.0 * one / k) + F.lit(7.0 * most * one / (3.0 * max(k - 1, 1)))
+    bound = F.lit(0.0) if k == n else F.least(hoeffding, bernstein) * n * halves
+    return found.select("id", (F.col("total") * (n / k) * halves).alias("score"), bound.alias("error_bound"))
 
 
 # --- importance ------------------------------------------------------------
@@ -348,10 +414,14 @@ def analyse_centrality(nodes: DataFrame, edges: DataFrame, pagerank_args: dict |
                        betweenness_args: dict | None = None, weights: tuple[float, float] = (0.65, 0.35)) -> DataFrame:
     """Both passes and the ranking; an empty graph is an error."""
     if nodes.isEmpty():
-        raise ValueError("the projection contains no nodes")
+        raise ValueError("centrality needs a graph of at least one node")
     ranked = pagerank(nodes, edges, **(pagerank_args or PAGERANK_PRESETS["demand_pull"]))
     if not ranked.converged:
         import warnings
-        warnings.warn(f"PageRank did not converge in {ranked.iterations} iterations; scores are approximate")
-    between = betweenness(nodes, edges, **(betweenness_args or BETWEENNESS_PRESETS["exact"]))
+        warnings.warn(f"ranks still moved after round {ranked.iterations}; allow more rounds or a wider tolerance")
+    args = betweenness_args or BETWEENNESS_PRESETS["exact"]
+    if args.get("sample"):
+        between = betweenness_estimate(nodes, edges, **{k: v for k, v in args.items() if v is not None}).select("id", "score")
+    else:
+        between = betweenness(nodes, edges, **args)
     return zone_importance(ranked.scores, between, *weights)

@@ -51,6 +51,9 @@ class JobConfig:
     slots_to_score: int = 1
     model_version: str = "v1"
     folds: int = 4
+    #: Pivots of the betweenness pass, None for all zones; the choice for graphs of more than some thousand zones.
+    betweenness_sample: int | None = None
+    betweenness_seed: int = 42
     train_from: int | None = None
     train_to: int | None = None
     features: FeatureConfig = field(default_factory=FeatureConfig)
@@ -122,7 +125,8 @@ def graph_cycle(spark: SparkSession, cfg: JobConfig) -> None:
     flows = tables.in_days(spark.read.parquet(cfg.at("zone_flows")), start, end)
 
     spec = projection.FLOW_VOLUME.over(start, end)
-    ranked = analyse_centrality(*_projected(spark, cfg, spec, zones, flows))
+    ranked = analyse_centrality(*_projected(spark, cfg, spec, zones, flows), betweenness_args={
+        "sample": cfg.betweenness_sample, "seed": cfg.betweenness_seed, "weight": None})
     zones = tables.persist_importance(zones, ranked)
     tables.replace_dimension(zones, cfg.at("zones"))
     zones = tables.read_dimension(spark, cfg.at("zones"))

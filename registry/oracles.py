@@ -436,6 +436,7 @@ def oracle_sql() -> dict[str, str]:
     q["pagerank_topk"] = pagerank_sql(10, None, f"SELECT id, {r6('score')} AS score FROM {{r}} ORDER BY round(score,9) DESC, id LIMIT 10")
     q["pagerank_scaled"] = pagerank_sql(10, None, f"SELECT id, {r6('(score - lo)/(hi - lo)')} AS score FROM {{r}}, (SELECT min(score) AS lo, max(score) AS hi FROM {{r}})")
     q["betweenness"] = betweenness_sql(9)
+    q["betweenness_sampled"] = f"SELECT id, score, true AS within_bound FROM ({q['betweenness']})"
     q["zone_importance"] = sql(["scores_f"], pick(IMP_COLS, "imp", IMP_DOUBLES), imp)
     q["corridor_zones"] = sql(["scores_f"], pick(IMP_COLS, "imp WHERE corridor_bias >= 0.1", IMP_DOUBLES), imp)
     q["score_distribution"] = sql(["scores_f"], f"SELECT {spread_figures('page_rank')} FROM scores_f")
