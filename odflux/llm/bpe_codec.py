@@ -203,6 +203,14 @@ def decode(ids: Column | str, path: str) -> Column:
 
 
 def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``token_ids`` and ``decoded``; columns of those names are replaced."""
+    """``docs`` with ``token_ids`` and ``decoded``, the text read back from those ids; columns of those names are replaced."""
     ship_package(docs.sparkSession)
-    return docs.withColumn("token_ids", encode(text, path)).withColumn("decoded", decode("token_ids", path))
+    kind = pa.struct([("token_ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    def both(column: pa.Array) -> pa.Array:
+        ids = encode_texts(path, column.to_pylist())
+        return pa.StructArray.from_arrays([ids, decode_ids(path, ids)], fields=list(kind))
+
+    names = [c for c in docs.columns if c not in ("token_ids", "decoded")]
+    coded = F.arrow_udf(both, "struct<token_ids: array<int>, decoded: string>")(text)
+    return docs.select(*names, coded.alias("__coded")).select(*names, "__coded.token_ids", "__coded.decoded")

@@ -15,7 +15,7 @@ from odflux.llm.common import slices
 # Fixed value: the pattern that byte-level vocabularies of this format split text with.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NO_RANK = np.int64(1) << 40
-KNOWN_PRE_TOKENS = 1_000_000
+KNOWN_PRE_TOKENS, VALUES_A_WORD = 500_000, 8
 LONGEST_KEPT = 64
 
 
@@ -112,11 +112,33 @@ class _Numbering(dict):
         return number
 
 
+class _Growing:
+    """Values that are added to at the end; room is doubled, so what is there is seldom copied."""
+
+    def __init__(self, values: np.ndarray):
+        self._room, self.size = np.array(values, dtype=np.int32), len(values)
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self._room):
+            room = np.zeros(max(end, 2 * len(self._room)), dtype=np.int32)
+            room[:self.size] = self._room[:self.size]
+            self._room = room
+        self._room[self.size:end] = values
+        self.size = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._room[:self.size]
+
+
 class KnownWords:
-    """Result of each distinct pre-token, worked out once per worker and held up to a fixed number.
+    """Result of each distinct pre-token, worked out once per worker and held up to a fixed number of words and of values.
 
     ``solve(words) -> (flat values, lengths)`` is asked for new words only, many at
-    a time. Past the bound all are forgotten; that costs time, never a result.
+    a time. Past either bound all are forgotten, and words of more than ``LONGEST_KEPT``
+    letters, as texts without spaces have, are never held beyond the texts they came
+    with; that costs time, never a result.
     """
 
     def __init__(self, vocabulary: Vocabulary, solve, bound: int = KNOWN_PRE_TOKENS):
@@ -129,24 +151,40 @@ class KnownWords:
         for word in self.vocabulary.specials:
             self.rows[word]
         self.rows.fresh.clear()
-        self.flat = np.array(list(self.vocabulary.specials.values()), dtype=np.int64)
-        self.lengths = np.ones(len(self.flat), np.int64)
+        self.flat = _Growing(np.array(list(self.vocabulary.specials.values()), dtype=np.int64))
+        self.lengths = _Growing(np.ones(self.flat.size, np.int64))
 
     def lookup(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row of each pre-token, pre-tokens per text, flat values, lengths per row)."""
-        if len(self.lengths) > self.bound:
+        if self.lengths.size > self.bound or self.flat.size > VALUES_A_WORD * self.bound:
             self._forget()
         parts = [self.vocabulary.pre_tokens(t) for t in texts]
         per_text = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         found = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(per_text.sum()))
+        flat, lengths = self.flat.values, self.lengths.values
         if fresh := self.rows.fresh:
-            flat, lengths = self.solve(fresh)
-            self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
-            for word in fresh:
-                if len(word) > LONGEST_KEPT:
-                    del self.rows[word]
+            known = self.lengths.size
+            new_flat, new_lengths = self.solve(fresh)
+            long = np.fromiter((len(word) > LONGEST_KEPT for word in fresh), dtype=bool, count=len(fresh))
+            # Rows of the words that stay come first; the long ones follow them, for these texts alone.
+            place = np.empty(len(fresh), dtype=np.int64)
+            place[~long], place[long] = np.arange((~long).sum()), np.arange(long.sum()) + (~long).sum()
+            new = found >= known
+            found[new] = place[found[new] - known] + known
+            of_long = np.repeat(long, new_lengths)
+            self.flat.add(new_flat[~of_long])
+            self.lengths.add(new_lengths[~long])
+            flat, lengths = self.flat.values, self.lengths.values
+            if long.any():
+                flat, lengths = np.concatenate([flat, new_flat[of_long]]), np.concatenate([lengths, new_lengths[long]])
+                for word, at, gone in zip(fresh, place.tolist(), long.tolist()):
+                    if gone:
+                        del self.rows[word]
+                    else:
+                        self.rows[word] = known + at
+            self.rows.next = self.lengths.size
             fresh.clear()
-        return found, per_text, self.flat, self.lengths
+        return found, per_text, flat, lengths
 
 
 def per_text_sums(values: np.ndarray, per_text: np.ndarray) -> np.ndarray:

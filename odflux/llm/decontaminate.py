@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from odflux.llm.common import ship_package, slices
 from odflux.llm.word_arrays import mix, split_words
@@ -282,6 +283,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall
     ship_package(docs.sparkSession)
     schema = (f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(benchmark.dtypes)['item_id']}, "
               "item_words int, edits int, first_word int, end_word int")
+    id_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     passes, block = [], []
 
@@ -293,7 +295,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall
                 texts, rows = batch.column("text").to_pylist(), []
                 for a, b in slices(texts):
                     rows += [(a + text, item, *rest) for text, item, *rest in index.find(texts[a:b])]
-                ids = pa.array([index.ids[r[1]] for r in rows], type=_arrow_type(index.ids))
+                ids = pa.array([index.ids[r[1]] for r in rows], type=id_type)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64())), ids,
                      pa.array([len(index.items[r[1]]) for r in rows], pa.int32()),
@@ -315,10 +317,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall
     return out
 
 
-def _arrow_type(ids: list[object]) -> pa.DataType:
-    return pa.string() if any(isinstance(i, str) for i in ids) else pa.int64()
-
-
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall: float = 0.99) -> DataFrame:
     """Rows of ``docs`` whose text holds no benchmark item; rows without an id are judged by their own text too."""
     tagged = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))

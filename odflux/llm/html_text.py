@@ -1,7 +1,7 @@
 """Main text of web pages, with site templates removed.
 
 A page becomes a tree. Every element subtree has a hash of its tag and all that it
-holds; subtrees are counted per host, and per section of it, over distinct pages in
+holds; subtrees of containers are counted per host, and per section of it, over distinct pages in
 Spark, and those that recur on many pages there are its template, deleted with the
 elements that are never part of an article (menus, forms, scripts, adverts,
 comments and so on). What is left of the article is its text, block by block.
@@ -30,6 +30,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title iframe noscript xmp noembed noframes template svg math".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr ul caption""".split())
+#: A template is made of containers, and outside articles of paragraphs, of some words or links; what else recurs, such as a
+#: word in a sentence, a cell or an item of a list, goes only with a container that recurs as a whole.
+TEMPLATE_WORDS = 3
+CONTAINERS = frozenset("""address aside blockquote center details dialog dir div dl fieldset figure footer form header menu nav ol section
+    table ul""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER = frozenset("""head nav footer aside form button select option input textarea label dialog menu script style noscript template iframe
     object embed canvas svg math audio video title xmp noembed noframes""".split())
@@ -148,24 +153,32 @@ def _walk(root: Element) -> Iterator[tuple[Element, bool]]:
             todo += [(p, False) for p in reversed(element.parts) if isinstance(p, Element)]
 
 
+def _may_recur(element: Element, inside: bool) -> bool:
+    return element.tag in CONTAINERS or element.tag == "p" and not inside
+
+
 def hash_subtrees(root: Element) -> list[int]:
-    """Set the hash of every element; the distinct hashes of those below the page that hold some text."""
+    """Set the hash of every element; the distinct hashes of those that may be a template, with enough words or a link."""
     found = {}
-    texts: dict[int, bool] = {}
+    weights: dict[int, int] = {}  # words below an element; a link counts as enough
+    articles = 0
     for element, done in _walk(root):
+        own_article = element.tag == "article" or element.main
         if not done:
+            articles += own_article
             continue
-        digest, filled = xxhash.xxh3_64(element.tag), False
+        articles -= own_article
+        digest, words = xxhash.xxh3_64(element.tag), TEMPLATE_WORDS if element.tag == "a" else 0
         for part in element.parts:
             if isinstance(part, Element):
                 digest.update(part.hash.to_bytes(8, "little"))
-                filled |= texts.pop(id(part), False)
-            elif words := part.split():
-                digest.update("\0".join(words))
-                filled = True
+                words += weights.pop(id(part), 0)
+            elif own := part.split():
+                digest.update("\0".join(own))
+                words += len(own)
         element.hash = digest.intdigest()
-        texts[id(element)] = filled
-        if filled and element.tag not in ("#page", "html", "body", "head", "article", "main"):
+        weights[id(element)] = words
+        if words >= TEMPLATE_WORDS and _may_recur(element, articles > 0):
             found[element.hash] = None
     return [h - (1 << 64) if h >> 63 else h for h in found]
 
@@ -173,7 +186,7 @@ def hash_subtrees(root: Element) -> list[int]:
 def _dropped(element: Element, templates: set[int], inside: bool, others: bool = True) -> bool:
     """``inside`` an article or main element a header stays; ``others``: whether articles named as others' words go."""
     signed = element.hash - (1 << 64) if element.hash >> 63 else element.hash
-    if element.dropped or element.tag == "header" and not inside or signed in templates:
+    if element.dropped or element.tag == "header" and not inside or _may_recur(element, inside) and signed in templates:
         return True
     if element.holds:
         return others and not element.main and not OTHERS.isdisjoint(element.named)

@@ -156,7 +156,11 @@ def hit_counts(lexicon: FuzzyLexicon, texts: list[str | None]) -> np.ndarray:
         to_word = np.minimum(hits + CONTEXT_WORDS, first[text + 1] - 1)
         from_char = np.where(from_word == first[text], begins[text], starts[from_word])
         to_char = np.where(to_word == first[text + 1] - 1, begins[text + 1] - 1, ends[to_word])
-        quoted = (quotes[starts[hits]] > quotes[from_char]) & (quotes[to_char] > quotes[ends[hits]])
+        # Marks open and close in turn within a line: after an odd number of them a word stands inside a pair.
+        at = np.arange(len(raw))
+        line = np.maximum.accumulate(np.where(raw == 0x0A, at + 1, 0))[starts[hits]]
+        opened = (quotes[starts[hits]] - quotes[np.maximum(line, begins[text])]) % 2 == 1
+        quoted = opened & (quotes[starts[hits]] > quotes[from_char]) & (quotes[to_char] > quotes[ends[hits]])
         gap = np.diff(hits) <= CONTEXT_WORDS
         same = np.diff(text) == 0
         beside = np.zeros(len(hits), dtype=bool)

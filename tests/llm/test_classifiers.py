@@ -68,6 +68,15 @@ def test_hits_know_quotations_and_misspellings():
     assert (names["exact_quoted"] > 0).tolist() == [False, True, False, False, False]
 
 
+def test_open_words_between_two_quotations_are_not_quoted():
+    lexicon = toxicity.FuzzyLexicon(BAD)
+    names = lambda *texts: dict(zip(toxicity.FEATURES, toxicity.hit_counts(lexicon, list(texts)).T))
+    got = names('"hello there" you wretched ones "bye"', 'she said "you wretched ones" then', '"one" and "wretched two" and "three"', 'an "odd mark\nyou wretched ones "bye"',
+                '«a» wretched «b»', '„so wretched“')
+    assert (got["exact_open"] > 0).tolist() == [True, False, False, True, True, False]
+    assert (got["exact_quoted"] > 0).tolist() == [False, True, True, False, False, True]
+
+
 def test_held_out_accuracy(spark):
     docs, labels = frames(spark, *corpus(900))
     truth = {r.doc_id: r for r in labels.collect()}

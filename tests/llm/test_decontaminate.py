@@ -91,3 +91,12 @@ def test_edges(spark, monkeypatch):
     assert sorted(r.doc_id for r in dc.without_leaks(docs, items).collect()) == [2, 3, 4]
     assert dc.find_leaks(docs, items.limit(0)).count() == 0 and dc.find_leaks(docs.limit(0), items).count() == 0
     assert dc.without_leaks(docs, items.limit(0)).count() == 7
+
+
+def test_ids_of_any_type(spark):
+    item = "alpha beta gamma delta epsilon zeta"
+    for kind, one in (("int", 7), ("short", 7), ("string", "q7"), ("long", 7)):
+        items = spark.createDataFrame([(one, item)], f"item_id {kind}, text string")
+        docs = spark.createDataFrame([(one, f"so {item} it is")], f"doc_id {kind}, text string")
+        found = dc.find_leaks(docs, items)
+        assert [(r.doc_id, r.item_id, r.edits) for r in found.collect()] == [(one, one, 0)] and dict(found.dtypes)["item_id"] == items.dtypes[0][1]

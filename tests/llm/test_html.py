@@ -72,3 +72,51 @@ def test_templates_of_sections(spark):
     assert [got[i] for i in range(8)] == [f"Own text {i}." for i in range(8)]
     assert all(got[100 + i] == f"Own text {i}." for i in range(40))
     assert got[200] == "Own text 200.\nPrices of the shop" and got[201] == "Own text 201.\nPrices of the shop"  # a few pages elsewhere
+
+
+def test_words_cells_and_short_blocks_of_an_article_stay(spark):
+    """What many pages of a host share inside sentences, tables and lists is no template; a box of it is."""
+    page = lambda i, wrap: (f"<body>{wrap[0]}<p>Entry {i}: smoking is <em>not</em> allowed, value <b>0</b> there.</p><p>Yes</p><p>See the rules {i}</p><ul><li>one</li>"
+                            f"<li>own {i}</li></ul><table><tr><td>same cell of all</td><td>{i}</td></tr></table><p>The same line everywhere</p>"
+                            f"<div>Read more <a href=/x>of us</a></div>{wrap[1]}<section>About this shop</section></body>")
+    text = "Entry {0}: smoking is not allowed, value 0 there.\nYes\nSee the rules {0}\none\nown {0}\nsame cell of all {0}"
+    for wrap, more in ((("<article>", "</article>"), "\nThe same line everywhere"), (("<div>", "</div>"), "")):
+        rows = [(i, f"http://a.example/{i}", page(i, wrap), "", "") for i in range(8)]
+        got = {r.page_id: r.text for r in ht.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert got == {i: text.format(i) + more for i in range(8)}
+
+
+def brute_templates(pages):
+    """Place -> template hashes, by dictionaries over all pages."""
+    held = {}
+    for url, page in {(u, p) for _, u, p, *_ in pages if u and p}:
+        rest = url.split("://", 1)[1] if "://" in url else ""
+        parts = rest.split("/")
+        places = [parts[0].lower()] + ([f"{parts[0].lower()}/{parts[1]}"] if len(parts) > 2 and parts[1] else []) if rest else []
+        for place in places:
+            held.setdefault(place, {}).setdefault(page, set(ht.hash_subtrees(ht.parse(page))))
+    out = {}
+    for place, distinct in held.items():
+        every = [h for own in distinct.values() for h in own]
+        chosen = {h for h in set(every) if every.count(h) >= ht.TEMPLATE_PAGES and every.count(h) >= ht.TEMPLATE_SHARE * len(distinct)}
+        if chosen:
+            out[place] = chosen
+    return out
+
+
+def test_templates_and_text_against_a_plain_count(spark):
+    import random
+    draw = random.Random(3)
+    boxes = [f"<div class=x>Box {k} of <a href=/>links</a> here</div>" for k in range(4)] + ["<p>All rights are reserved</p>", "<b>bold</b>"]
+    rows = []
+    for i in range(120):
+        host = draw.choice(["a.example", "b.example", "c.example"])
+        own = "".join(draw.choice(boxes) for _ in range(draw.randint(0, 3)))
+        rows.append((i, f"http://{host}/{draw.choice(['news', 'shop'])}/{i}", f"<body>{own}<article><p>Page {draw.randint(0, 90)}.</p>{draw.choice(boxes)}</article>", "", ""))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    truth = brute_templates(rows)
+    assert {r.place: set(r.templates) for r in ht.site_templates(frame).collect()} == truth and truth
+    for r in ht.extract_text(frame).collect():
+        host, folder = r.url.split("/")[2:4]
+        known = list(truth.get(host, set()) | truth.get(f"{host}/{folder}", set()))
+        assert r.text == ht.main_text(rows[r.page_id][2], known)

@@ -44,6 +44,34 @@ def test_forgetting_known_words_changes_nothing():
         assert flat[bpe_codec._ragged(lengths.cumsum() - lengths, lengths, rows)].tolist() == ids
 
 
+def test_texts_without_spaces_leave_nothing_behind():
+    """Fifty million letters without a space: what is held stays as small as it was."""
+    vocabulary = bpe_model.load(PATH)
+    known = bpe_model.KnownWords(vocabulary, lambda words: (bpe_model.np.zeros(sum(map(len, words)), bpe_model.np.int64), bpe_model.np.array([len(w) for w in words])))
+    draw = random.Random(1)
+    held = []
+    for _ in range(50):
+        text = "".join(chr(0x4E00 + draw.randrange(5_000)) for _ in range(1_000))
+        known.lookup([(text + str(k)) * 10 for k in range(100)])
+        held.append((known.flat.size, known.lengths.size, len(known.rows)))
+    assert len({h[0] for h in held[5:]}) == 1 and held[-1][0] < 2_000 and len({len(set(h[1:])) for h in held}) == 1
+
+
+def test_long_and_short_words_keep_their_rows():
+    vocabulary = bpe_model.load(PATH)
+    known = bpe_model.KnownWords(vocabulary, lambda words: bpe_codec.encode_words(vocabulary, words))
+    texts = ["ab " + "漢" * 200 + " cd", "漢" * 200, "cd ab", "x" * 90 + " ef " + "漢" * 200, "ef cd"]
+    for text, ids in zip(texts * 2, expected_ids(texts) * 2):
+        rows, _, flat, lengths = known.lookup([text])
+        assert flat[bpe_codec._ragged(lengths.cumsum() - lengths, lengths, rows)].tolist() == ids
+
+
+def test_texts_are_encoded_once(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = bpe_codec.round_trip(docs, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.split("ArrowEvalPython")[1].split("]")[0].count("both(") == 1
+
+
 def test_decoding_odd_ids():
     import pyarrow as pa
     column = pa.array([[200, 1, 50256], None, [], [-1, 10**6], [None, 1]], type=pa.list_(pa.int32()))
