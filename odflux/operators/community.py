@@ -5,12 +5,12 @@ from __future__ import annotations
 import warnings
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from odflux.functions.columns import half_open, long_or_zero, or_zero, safe_ratio
-from odflux.functions.session import cut_lineage
-from odflux.operators.centrality import global_rank
+from odflux.functions.session import cut_lineage, release
+from odflux.operators.centrality import EDGES_PER_SLICE, global_rank
 from odflux.operators.projection import UNDIRECTED, GraphSpec
 
 MEANINGFUL_MODULARITY = 0.3
@@ -64,73 +64,95 @@ def _modularity(links: DataFrame, member: DataFrame) -> DataFrame:
     return sums.select(or_zero(F.try_divide(F.col("i"), t) - F.try_divide(F.col("tt"), t * t)).alias("modularity"))
 
 
-def _weighed(links: DataFrame, state: DataFrame, whole: float, turn: int) -> DataFrame:
-    """One turn: every node of ``state(id, c, k, own)`` with its best community.
+def _placed(links: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links of one level dealt out by their far end once, a hub's in slices, and the nodes with their number of slices.
+
+    Turns move node-sized frames to the links; the links stay where they are.
+    """
+    places = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    between = links.where(F.col("src") != F.col("dst"))
+    cut = between.groupBy("dst").agg(F.ceil(F.count(F.lit(1)) / F.lit(EDGES_PER_SLICE)).cast("int").alias("slices"))
+    dealt = between.join(cut, "dst").select("src", "dst", F.pmod(F.xxhash64("src"), F.col("slices")).cast("int").alias("slice"), "w")
+    sliced = state.join(cut.select(F.col("dst").alias("id"), "slices"), "id", "left").fillna(0, ["slices"])
+    return dealt.repartition(places, "dst", "slice").persist(StorageLevel.MEMORY_AND_DISK), sliced
+
+
+def _weighed(placed: DataFrame, state: DataFrame, whole: float, turn: int) -> DataFrame:
+    """One turn: every node of ``state(id, c, k, own, slices)`` with its best community.
 
     A node weighs staying against each neighbouring community by
     ``w(node, c) - k·total(c)/whole``; ties go to the smaller label. Only a
     hashed half of the nodes may move per turn, so neighbours rarely swap
-    labels. ``inner`` is the weight the node sends into its own community, from
-    which the modularity of the membership as it was follows.
+    labels. ``inner`` is the weight the node sends into its own community and
+    ``around`` that community's weight: the modularity of the membership as it was
+    is a plain sum of them over nodes.
     """
-    toward = (
-        links.where(F.col("src") != F.col("dst"))
-        .join(state.select(F.col("id").alias("dst"), "c"), "dst")
-        .groupBy(F.col("src").alias("id"), "c").agg(F.sum("w").alias("to_c"))
-    )
+    told = state.where(F.col("slices") > 0).select(
+        F.col("id").alias("dst"), "c", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    toward = placed.join(told, ["dst", "slice"]).groupBy(F.col("src").alias("id"), "c").agg(F.sum("w").alias("to_c"))
     here = state.select("id", "c", F.lit(0.0).alias("to_c"))
     options = toward.unionByName(here).groupBy("id", "c").agg(F.sum("to_c").alias("to_c"))
     sizes = state.groupBy("c").agg(F.sum("k").alias("total"))
     at_home = F.col("c") == F.col("home")
     others = F.col("total") - F.when(at_home, F.col("k")).otherwise(0.0)
     scored = (
-        options.join(sizes, "c").join(state.select("id", F.col("c").alias("home"), "k", "own"), "id")
-        .select("id", "home", "k", "own", "c", "to_c", at_home.alias("stays"),
+        options.join(sizes, "c").join(state.select("id", F.col("c").alias("home"), "k", "own", "slices"), "id")
+        .select("id", "home", "k", "own", "slices", "c", "to_c", "total", at_home.alias("stays"),
                 (F.col("to_c") - F.col("k") * others / F.lit(whole)).alias("gain"))
     )
-    picked = scored.groupBy("id", "home", "k", "own").agg(
-        F.max(F.when(F.col("stays"), F.col("gain"))).alias("stay"),
-        F.max(F.when(F.col("stays"), F.col("to_c"))).alias("inner"),
+    at_its_own = lambda name: F.max(F.when(F.col("stays"), F.col(name)))
+    picked = scored.groupBy("id", "home", "k", "own", "slices").agg(
+        at_its_own("gain").alias("stay"), at_its_own("to_c").alias("inner"), at_its_own("total").alias("around"),
         F.max("gain").alias("top"),
         F.min_by("c", F.struct(-F.col("gain"), F.col("c"))).alias("best"),
     )
     free = F.pmod(F.xxhash64("id", F.lit(turn // 2)), F.lit(2)) == turn % 2
     moves = free & (F.col("top") > F.col("stay") + 1e-12)
     return picked.select(
-        "id", "home", F.when(moves, F.col("best")).otherwise(F.col("home")).alias("c"), "k", "own",
-        (F.col("inner") + F.col("own")).alias("inner"))
+        "id", F.when(moves, F.col("best")).otherwise(F.col("home")).alias("c"), "k", "own", "slices",
+        (F.col("inner") + F.col("own")).alias("inner"), "around")
 
 
-def _quality_before(turned: DataFrame, whole: float) -> float:
-    """Modularity of the membership a turn started from."""
-    per = turned.groupBy("home").agg(F.sum("inner").alias("i"), F.sum("k").alias("t"))
-    row = per.agg(F.sum("i").alias("i"), F.sum(F.col("t") * F.col("t")).alias("tt")).first()
-    return row["i"] / whole - row["tt"] / (whole * whole)
+def _turned(placed: DataFrame, state: DataFrame, whole: float, turn: int) -> tuple[DataFrame, float]:
+    """The state after a turn, written, and the modularity of the one before, added up while it was written."""
+    sums = Observation()
+    watched = _weighed(placed, state, whole, turn).observe(
+        sums, F.sum("inner").alias("inside"), F.sum(F.col("k") * F.col("around")).alias("squares"))
+    after = cut_lineage(watched)
+    found = sums.get
+    return after, found["inside"] / whole - found["squares"] / (whole * whole)
 
 
 def _one_level(links: DataFrame, member: DataFrame, max_iter: int, tol: float) -> tuple[DataFrame, float]:
     """Moves nodes until two turns in a row gain nothing; a turn that loses modularity is undone."""
     ends = links.groupBy(F.col("src").alias("id")).agg(
         F.sum("w").alias("k"), F.sum(F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(0.0)).alias("own"))
-    kept = cut_lineage(member.join(ends, "id", "left").select(
-        "id", "c", or_zero(F.col("k")).alias("k"), or_zero(F.col("own")).alias("own")))
+    start = member.join(ends, "id", "left").select("id", "c", or_zero(F.col("k")).alias("k"), or_zero(F.col("own")).alias("own"))
+    placed, state = _placed(links, start)
+    kept = cut_lineage(state)
     whole = kept.agg(F.sum("k")).first()[0] or 0.0
     if whole <= 0:
+        placed.unpersist()
         return kept.select("id", "c"), 0.0
     quality, idle, trial = None, 0, kept
     for turn in range(2 * max_iter + 1):
-        turned = cut_lineage(_weighed(links, trial, whole, turn))
-        reached = _quality_before(turned, whole)
+        after, reached = _turned(placed, trial, whole, turn)
         if quality is None or reached > quality:
             idle = 0 if quality is None or reached - quality > tol else idle + 1
-            kept, quality = trial, reached
-            trial = turned.select("id", "c", "k", "own")
+            if kept is not trial:
+                release(kept)
+            kept, quality, trial = trial, reached, after
         else:
             # undo, and let the other half of the nodes try from the kept membership
             idle += 1
-            trial = cut_lineage(_weighed(links, kept, whole, turn)).select("id", "c", "k", "own")
+            release(after)
+            release(trial)
+            trial = _turned(placed, kept, whole, turn)[0]
         if idle >= 2:
             break
+    placed.unpersist()
+    if trial is not kept:
+        release(trial)
     return kept.select("id", "c"), quality
 
 
@@ -144,7 +166,7 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
     seeds, or one community per node).
     """
     if consecutive_ids and seed_col:
-        raise ValueError("consecutive_ids would discard the seeded identifiers")
+        raise ValueError("numbering communities anew would lose the seeds' names; choose one of the two")
     if max_levels < 1 or max_iter < 1 or tol <= 0 or (min_size is not None and min_size < 1):
         raise ValueError("max_levels, max_iter and min_size must be at least 1 and tol positive")
     links = _folded(edges, weight).persist(StorageLevel.MEMORY_AND_DISK)

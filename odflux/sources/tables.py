@@ -156,14 +156,14 @@ def load_demand_windows(spark: SparkSession, path: str, start: int | None = None
 
 
 def zone_graph_features(zones: DataFrame) -> DataFrame:
-    """Zone ids with their current scores; missing scores are 0, no community is -1."""
+    """Zone ids with their current scores; missing scores are 0, no community is -1. Of copies that differ the greatest scores stay."""
     have = set(zones.columns)
     stored = lambda name: F.col(name) if name in have else F.lit(None)
     return zones.select(
         F.col("location_id").cast("int").alias("location_id"),
         *[or_zero(stored(name)).alias(name) for name in ZONE_SCORES],
         F.coalesce(stored("community_id").cast("long"), F.lit(-1).cast("long")).alias("community_id"),
-    ).dropDuplicates(["location_id"])
+    ).groupBy("location_id").agg(F.max(F.struct(*ZONE_SCORES, "community_id")).alias("_z")).select("location_id", "_z.*")
 
 
 def community_features(communities: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def community_features(communities: DataFrame) -> DataFrame:
         F.col("community_id").cast("long").alias("community_id"),
         or_zero(F.col("size")).alias("community_size"),
         or_zero(F.col("cohesion")).alias("community_cohesion"),
-    ).dropDuplicates(["community_id"])
+    ).groupBy("community_id").agg(F.max(F.struct("community_size", "community_cohesion")).alias("_c")).select("community_id", "_c.*")
 
 
 def flow_edges(flows: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:

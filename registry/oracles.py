@@ -12,6 +12,7 @@ YEAR = 31_536_000_000
 EST = 18_000_000                               # the events lie in one winter month
 MID = 1_705_320_000_000                        # 2024-01-15 12:00 UTC
 SNAPSHOT_AT = 1_706_000_000_000
+CYCLES = [1_704_931_200_000 + i * 432_000_000 for i in range(3)]  # from 2024-01-11 every five days
 
 ZERO = ["trip_count", "passenger_total", "demand_per_minute", "total_revenue", "total_tips",
         "distinct_destinations", "is_surge"]
@@ -141,7 +142,11 @@ ZONE_SIDE = """SELECT z.location_id, coalesce(page_rank_score,0) AS page_rank_sc
     FROM zones_x z LEFT JOIN comm c ON c.community_id = coalesce(z.community_id,-1)"""
 
 
-def matrix_sql(demand: str, flows: str, target: bool) -> str:
+TODAY = "JOIN zone_side s ON s.location_id = f.location_id"
+AS_OF = "ASOF LEFT JOIN snaps s ON s.location_id = f.location_id AND f.window_start >= s.snapshot_start"
+
+
+def matrix_sql(demand: str, flows: str, target: bool, scores: str = TODAY) -> str:
     """Grid -> time features -> graph scores -> peers -> flows, over named demand and flow rows."""
     goal = f", {target_cols()}" if target else ""
     return f"""SELECT m.*, coalesce(p.inbound_trip_count,0) AS inbound_trip_count, coalesce(p.inbound_zone_count,0) AS inbound_zone_count,
@@ -149,9 +154,10 @@ def matrix_sql(demand: str, flows: str, target: bool) -> str:
         coalesce(p.net_flow,0) AS net_flow, CAST(floor(m.window_start/86400000) AS BIGINT) AS window_day
         FROM (SELECT g.*, CASE WHEN count(*) OVER q > 1 THEN (sum(trip_count) OVER q - trip_count)/(count(*) OVER q - 1) ELSE 0 END AS community_peer_mean_demand,
                      CASE WHEN sum(trip_count) OVER q > 0 THEN trip_count/(sum(trip_count) OVER q) ELSE 0 END AS community_demand_share
-              FROM (SELECT f.*, {', '.join('s.' + c for c in SCORES)}, s.community_id, s.community_size, s.community_cohesion
+              FROM (SELECT f.*, {', '.join(f'coalesce(s.{c},0) AS {c}' for c in SCORES)}, coalesce(s.community_id,-1) AS community_id,
+                           coalesce(s.community_size,0) AS community_size, coalesce(s.community_cohesion,0) AS community_cohesion
                     FROM (SELECT *, {lag_cols()}, {season_cols()}, {roll_cols()}, {calendar_cols()}{goal} FROM ({grid_sql(demand, 1)})) f
-                    JOIN zone_side s ON s.location_id = f.location_id) g
+                    {scores}) g
               WINDOW q AS (PARTITION BY community_id, window_start)) m
         LEFT JOIN ({PRESSURE.format(f=flows)}) p ON p.location_id = m.location_id AND p.window_start = m.window_start"""
 
@@ -464,7 +470,7 @@ def oracle_sql() -> dict[str, str]:
     figures = ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(parts))
     norm = " + ".join(f"CASE WHEN s{i} > 0 THEN pow(({c} - m{i}) / s{i}, 2) ELSE 0 END" for i, c in enumerate(parts))
     q["assemble_vector"] = sql(["grid"], f"""SELECT location_id, window_start, {len(parts)} AS width, round({norm}, 2) AS norm
-        FROM lagged, (SELECT {figures} FROM lagged)""", {"lagged": f"(SELECT *, {lag_cols()} FROM grid)"})
+        FROM lagged, (SELECT {figures} FROM lagged)""", {"lagged": f"MATERIALIZED (SELECT *, {lag_cols()} FROM grid)"})
     q["complete_grid"] = sql(["grid"], pick(grid_cols, "grid"))
     q["calendar_features"] = sql(["dw"], pick(["location_id", "window_start"] + CALENDAR, f"(SELECT *, {calendar_cols()} FROM dw)"))
     q["lag_features"] = sql(["grid"], pick(["location_id", "window_start"] + LAG_COLS, f"(SELECT *, {lag_cols()} FROM grid)"))
@@ -489,6 +495,26 @@ def oracle_sql() -> dict[str, str]:
     q["feature_health"] = profile_sql("WHERE null_count > 0 OR stddev = 0", "feature, null_count, stddev = 0 AS is_constant")
     q["training_matrix"] = sql(["demand_f", "fl", "zones", "zone_side"], pick(MATRIX_COLS + TARGET_COLS,
         f"({matrix_sql('demand_f', 'fl', True)}) WHERE target_trip_count IS NOT NULL AND window_start >= (SELECT min(window_start) FROM demand_f) + {LOOKBACK * SLIDE}"))
+    snaps = " UNION ALL ".join(
+        ZONE_SIDE.replace("SELECT z.location_id,", f"SELECT CAST({at} AS BIGINT) AS snapshot_start, z.location_id,", 1).replace("zones_x z", f"zx{i} z").replace("JOIN comm c", f"JOIN comm{i} c")
+        for i, at in enumerate(CYCLES))
+    cycles = {}
+    for i in range(len(CYCLES)):
+        cycles[f"zx{i}"] = f"(SELECT * REPLACE (page_rank_score + CAST({i / 8} AS DOUBLE) AS page_rank_score, (community_id + {i}) % 4 AS community_id) FROM zones_x)"
+        cycles[f"comm{i}"] = "(" + CTES["comm"][1].replace("FROM zones_x", f"FROM zx{i}") + ")"
+    past_warm_up = f"target_trip_count IS NOT NULL AND window_start >= (SELECT min(window_start) FROM demand_f) + {LOOKBACK * SLIDE}"
+    q["training_matrix_snapshots"] = sql(["demand_f", "fl", "zones", "zones_x"], pick(MATRIX_COLS + TARGET_COLS,
+        f"({matrix_sql('demand_f', 'fl', True, AS_OF)}) WHERE {past_warm_up}"), {**cycles, "snaps": f"({snaps})"})
+    trained = {"tm": f"MATERIALIZED (SELECT window_start, target_trip_count, trip_count_lag_day FROM ({matrix_sql('demand_f', 'fl', True)}) WHERE {past_warm_up})"}
+    trained_on = ["demand_f", "fl", "zones", "zone_side"]
+    q["walk_forward_check"] = sql(trained_on, f"""SELECT CAST(k AS INT) AS fold, (SELECT count(*) FROM tm WHERE window_start < lo + blk*k) AS train_rows, count(*) AS validation_rows,
+        lo + blk*k AS train_cutoff, lo + blk*k + 900000 AS validation_start, {r6('sqrt(avg((trip_count_lag_day - target_trip_count)*(trip_count_lag_day - target_trip_count)))')} AS baseline_rmse
+        FROM tm, (SELECT min(window_start) AS lo, (max(window_start)-min(window_start)) // 5 AS blk FROM tm), (SELECT unnest([1,2,3,4]) AS k)
+        WHERE window_start >= lo + blk*k + 900000 AND window_start < lo + blk*(k+1) GROUP BY k, lo, blk""", trained)
+    n_features = len(set(MATRIX_COLS) - {"location_id", "window_start", "window_end", "window_day"})
+    q["model_check"] = sql(trained_on, f"""SELECT count(*) AS row_count, {r6('avg(target_trip_count)')} AS mean_label, true AS beats_the_mean, count(*) AS forecast_rows, true AS not_negative,
+        true AS bounds_in_order, CAST({n_features} AS BIGINT) AS features, true AS sums_to_one, true AS strongest_first FROM tm""", trained)
+    q["grid_search"] = "SELECT CAST(unnest(range(1, 7)) AS INT) AS place, CAST(3 AS BIGINT) AS folds, true AS in_order, CAST(6 AS INT) AS candidates"
     latest = "(SELECT max(window_start) FROM demand_f)"
     within = f"window_start >= {latest} - {(LOOKBACK + 2) * SLIDE} AND window_start < {latest} + {SLIDE}"
     q["inference_matrix"] = sql(["demand_f", "fl", "zones", "zone_side"], pick(MATRIX_COLS, f"({matrix_sql('dn', 'fn', False)}) WHERE window_start >= {latest} - {SLIDE}"),
@@ -533,6 +559,10 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT origin_id, destination_id, CAST(sum(trip_count) AS BIGINT) AS trips, avg(avg_duration_seconds) AS dur, avg(avg_trip_distance_miles) AS mi FROM fs
               WHERE window_start >= {26 * YEAR} AND trip_count >= 2 AND origin_id <> destination_id GROUP BY ALL) p
         JOIN zones_x o ON o.location_id = origin_id JOIN zones_x d ON d.location_id = destination_id ORDER BY trips DESC, origin_id, destination_id LIMIT 50""")
+    q["mappable_flows"] = "SELECT * FROM (" + q["dominant_flows"].replace("LIMIT 50", "LIMIT 200") + """) WHERE origin_lat IS NOT NULL AND origin_lng IS NOT NULL
+        AND destination_lat IS NOT NULL AND destination_lng IS NOT NULL"""
+    q["zone_polygons"] = sql(["zones_x"], """SELECT location_id, zone_name, latest_trip_count, peak_trip_count, CAST(5 AS BIGINT) AS corners, longitude - 0.0625 AS west, longitude + 0.0625 AS east,
+        latitude - 0.0625 AS south, latitude + 0.0625 AS north FROM zones_x WHERE latitude IS NOT NULL AND longitude IS NOT NULL""")
     q["forecasts_since"] = sql(["pred", "zones_x"], f"""SELECT f.location_id, zone_name, borough, origin_window_start, target_window_start, {r6('forecast_trip_count')} AS forecast_trip_count, {r6('lower_bound')} AS lower_bound,
         {r6('upper_bound')} AS upper_bound, model_version, horizon_slots, {r6('latitude')} AS latitude, {r6('longitude')} AS longitude
         FROM fcst f JOIN zones_x z ON z.location_id = f.location_id WHERE target_window_start >= {MID}""", {"fcst": FORECASTS})

@@ -14,11 +14,11 @@ from odflux.operators import centrality, community, evaluation, events, explain,
 from odflux.operators import projection, quality, rules
 from odflux.operators.windows import demand_windows, zone_flows
 from odflux.plans import reports
-from odflux.sources import tables
+from odflux.sources import polygons, tables
 from odflux.sources.trip_files import scan_trip_csv
 from odflux.streaming import queries as streams
 from registry.oracles import (
-    CARRY, DAY_SLOTS, FLOW_COLS, HORIZON, LAG_COLS, LOOKBACK, MID, SCORES, SLIDE, SNAPSHOT_AT, WIDTH, YEAR, ZERO,
+    CARRY, CYCLES, DAY_SLOTS, FLOW_COLS, HORIZON, LAG_COLS, LOOKBACK, MID, SCORES, SLIDE, SNAPSHOT_AT, WIDTH, YEAR, ZERO,
 )
 from registry.views import view
 
@@ -701,12 +701,82 @@ def _(g):
 
 # --- reports ---------------------------------------------------------------
 
+
+@query("walk_forward_check")
+def _(g):
+    """What does not depend on the fitted trees: the folds' rows and bounds, and the baseline on each."""
+    told = forecast.walk_forward_validate(_training_rows(g), QUICK)
+    return told.select("fold", "train_rows", "validation_rows", "train_cutoff", "validation_start", "baseline_rmse")
+
+
+@query("model_check")
+def _(g):
+    """One fit: rows and labels it saw, importances that sum to one, better than the mean, bounds in order, one forecast a row."""
+    rows = _training_rows(g)
+    model = forecast.train(rows, QUICK)
+    told, seen = forecast.forecast(model, rows), forecast.evaluate(model, rows)
+    ordered = told.agg(
+        F.count("*").alias("forecast_rows"), F.min(F.col("forecast_trip_count") >= 0).alias("not_negative"),
+        F.min((F.col("forecast_lower_bound") <= F.col("forecast_upper_bound"))).alias("bounds_in_order"))
+    shares = forecast.feature_importances(model).agg(
+        F.count("*").alias("features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        F.max(F.when(F.col("rank") == 1, F.col("importance"))).alias("_top"), F.max("importance").alias("_most"))
+    one = lambda frame, c: frame.select(c).scalar().alias(c)
+    return seen.select("row_count", "mean_label", (F.col("r2") > 0).alias("beats_the_mean"), one(ordered, "forecast_rows"), one(ordered, "not_negative"),
+                       one(ordered, "bounds_in_order"), one(shares, "features"), one(shares, "sums_to_one"),
+                       (shares.select("_top").scalar() == shares.select("_most").scalar()).alias("strongest_first"))
+
+
+HOURLY = features.FeatureConfig(slide_seconds=3_600, window_seconds=3_600, horizon=1, graph=features.DISABLED, use_flows=False)
+
+
+@query("grid_search")
+def _(g):
+    """The six boosted candidates over hourly rows, a few trees each: place, folds, and whether no place is better than the one before."""
+    hours = rules.surge_score(demand_windows(g.trips, "1 hour", "1 hour", exact_distinct=True))
+    rows = features.training_matrix(features.FeatureSources(hours, g.zones), HOURLY)
+    base = forecast.TrainConfig(params={"maxIter": 3}, seed=7, embargo_ms=3_600_000)
+    tried = forecast.grid_search(features.assemble_vector(cut_lineage(rows)), forecast.boosted_grid(base), folds=3)
+    told = [(i, cfg.settings["maxDepth"], cfg.settings["stepSize"], *report.select("folds", "mean_rmse").first()) for i, (cfg, report) in enumerate(tried, 1)]
+    before = [None, *[t[4] for t in told]]
+    shown = {(t[1], t[2]) for t in told}
+    return g.spark.createDataFrame([(t[0], t[3], before[k] is None or before[k] <= t[4], len(shown)) for k, t in enumerate(told)],
+                                   "place int, folds long, in_order boolean, candidates int")
+
+
+@query("training_matrix_snapshots")
+def _(g):
+    """Rows as they could have been known: the scores of the latest of three graph cycles' snapshots before each row."""
+    path = g.scratch
+    for i, at in enumerate(CYCLES):
+        zones = g.zones_x.withColumns({"page_rank_score": F.col("page_rank_score") + F.lit(i / 8), "community_id": (F.col("community_id") + i) % 4})
+        core = F.count_if(F.col("service_zone") == "Core").cast("double")
+        groups = zones.where(F.col("community_id").isNotNull()).groupBy("community_id").agg(
+            F.count(F.lit(1)).alias("size"), (core / F.count(F.lit(1)).cast("double")).alias("cohesion"))
+        tables.write_graph_snapshot(zones, groups, path, at)
+    sources = features.FeatureSources(g.surges, g.zones_x, flows=g.flows, snapshots=g.spark.read.parquet(path))
+    return features.training_matrix(sources, features.FeatureConfig(graph=features.SNAPSHOTS))
+
+
 query("window_bounds")(lambda g: reports.window_bounds(g.windows15))
 query("zone_state")(lambda g: reports.zone_state(g.zones_x))
 query("windows_since")(lambda g: reports.windows_since(g.surges, MID))
 query("zone_history")(lambda g: reports.zone_history(g.surges, 7, MID))
 query("zone_history_kpis")(lambda g: reports.zone_history_kpis(g.surges, 7, MID))
 query("dominant_flows")(lambda g: reports.dominant_flows(g.yearly_flows, g.zones_x, 26 * YEAR, 2, 50))
+query("mappable_flows")(lambda g: reports.mappable_flows(reports.dominant_flows(g.yearly_flows, g.zones_x, 26 * YEAR, 2, 200)))
+
+
+@query("zone_polygons")
+def _(g):
+    path = g.scratch
+    polygons.write_zone_polygons(g.zones_x, path)
+    shapes = polygons.load_zone_polygons(g.spark, path)
+    metrics = g.zones_x.select("location_id", "zone_name", "latest_trip_count", "peak_trip_count")
+    named = polygons.enrich_polygons(shapes, metrics, ["latest_trip_count", "peak_trip_count"]).drop("geometry")
+    return named.join(polygons.outline_corners(shapes), "location_id")
+
+
 query("forecasts_since")(lambda g: reports.forecasts_since(g.forecasts, g.zones_x, MID))
 query("latest_kpis")(lambda g: reports.latest_kpis(g.surges))
 query("citywide_series")(lambda g: reports.citywide_series(g.surges))
