@@ -26,8 +26,8 @@ def load_zone_polygons(spark: SparkSession, path: str) -> DataFrame:
 def write_zone_polygons(zones: DataFrame, path: str, half_side: float = 0.0625, features_per_file: int = 500) -> None:
     """Square outlines around the positions of ``zones(location_id, zone_name, latitude, longitude)`` as FeatureCollections.
 
-    One collection per ``features_per_file`` neighbouring ids, so no task nests all zones
-    in one document. Zones without a position have no outline.
+    One file and collection per ``features_per_file`` neighbouring ids, so no task nests all
+    zones in one document. Zones without a position have no outline.
     """
     west, east = F.col("longitude") - half_side, F.col("longitude") + half_side
     south, north = F.col("latitude") - half_side, F.col("latitude") + half_side
@@ -37,7 +37,8 @@ def write_zone_polygons(zones: DataFrame, path: str, half_side: float = 0.0625,
         F.struct(F.col("location_id"), F.col("zone_name").alias("zone")).alias("properties"))
     blocks = zones.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(
         F.floor(F.col("location_id") / features_per_file).alias("block")).agg(F.collect_list(feature).alias("features"))
-    blocks.select(F.lit("FeatureCollection").alias("type"), "features").write.mode("overwrite").json(path)
+    blocks.select(F.lit("FeatureCollection").alias("type"), "features").write.mode("overwrite").option(
+        "maxRecordsPerFile", 1).json(path)
 
 
 def outline_corners(polygons: DataFrame) -> DataFrame:

@@ -197,6 +197,11 @@ CTES: dict[str, tuple[list[str], str]] = {
         UNION ALL SELECT dst, src, trip_count FROM (
         SELECT origin_id AS src, destination_id AS dst, CAST(sum(trip_count) AS DOUBLE) AS trip_count
         FROM fs WHERE trip_count >= 5 AND origin_id <> destination_id GROUP BY ALL) p"""),
+    "vol15": (["fl15", "zones"], f"""SELECT origin_id AS src, destination_id AS dst, CAST(sum(trip_count) AS DOUBLE) AS trip_count,
+        max(avg_duration_seconds) AS longest, CAST(count(trip_count) AS DOUBLE) AS edge_count
+        FROM fl15 WHERE origin_id <> destination_id AND window_start >= {MID} AND window_start < {MID + 432_000_000}
+        AND origin_id IN (SELECT location_id FROM zones) AND destination_id IN (SELECT location_id FROM zones) GROUP BY ALL"""),
+    "shares15": (["vol15"], "SELECT src, dst, trip_count/(sum(trip_count) OVER (PARTITION BY src)) AS share FROM vol15"),
     "shares": (["vol"], "SELECT src, dst, trip_count/(sum(trip_count) OVER (PARTITION BY src)) AS share FROM vol"),
     "fc": (["zones"], ""),
 }
@@ -245,13 +250,30 @@ def pick(cols: list[str], frm: str, doubles: set[str] | None = None) -> str:
     return f"SELECT {', '.join(f'{r6(c)} AS {c}' if c in known else c for c in cols)} FROM {frm}"
 
 
-def pagerank_sql(rounds: int, seeds: str | None, final: str) -> str:
+def pagerank_sql(rounds: int, seeds: str | None, final: str, shares: str = "shares") -> str:
     base = "CAST(0.15 AS DOUBLE)" if seeds is None else f"(CASE WHEN location_id IN ({seeds}) THEN CAST(0.15 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)"
     extra = {"r0": f"MATERIALIZED (SELECT location_id AS id, {base} AS base, {base} AS score FROM zones)"}
     for k in range(1, rounds + 1):
         extra[f"r{k}"] = (f"MATERIALIZED (SELECT r.id, r.base, r.base + CAST(0.85 AS DOUBLE)*coalesce(c.s,0) AS score FROM r{k-1} r LEFT JOIN "
-                          f"(SELECT dst, sum(share*score) AS s FROM shares JOIN r{k-1} ON src = id GROUP BY dst) c ON c.dst = r.id)")
-    return sql(["shares", "zones"], final.format(r=f"r{rounds}"), extra)
+                          f"(SELECT dst, sum(share*score) AS s FROM {shares} JOIN r{k-1} ON src = id GROUP BY dst) c ON c.dst = r.id)")
+    return sql([shares, "zones"], final.format(r=f"r{rounds}"), extra)
+
+
+def weighted_betweenness_sql(rounds: int, hops: int) -> str:
+    """Least costs by ``rounds`` of relaxation, then walks of up to ``hops`` links along links that lie on least-cost paths."""
+    extra = {"e": f"MATERIALIZED (SELECT origin_id AS src, destination_id AS dst, {dbl('avg(avg_duration_seconds)')} AS w FROM fs WHERE trip_count >= 3 AND origin_id <> destination_id GROUP BY ALL)",
+             "c0": "MATERIALIZED (SELECT location_id AS s, location_id AS v, CAST(0 AS DOUBLE) AS cost FROM zones)"}
+    for k in range(1, rounds + 1):
+        extra[f"c{k}"] = f"MATERIALIZED (SELECT s, v, min(cost) AS cost FROM (SELECT * FROM c{k-1} UNION ALL SELECT s, dst, cost + w FROM c{k-1} JOIN e ON src = v) GROUP BY s, v)"
+    c = f"c{rounds}"
+    extra["tight"] = f"MATERIALIZED (SELECT a.s, src, dst FROM {c} a JOIN e ON src = a.v JOIN {c} b ON b.s = a.s AND b.v = dst WHERE a.cost + w = b.cost)"
+    extra["q0"] = f"MATERIALIZED (SELECT s, v, v AS t, CAST(1 AS DOUBLE) AS n FROM {c})"
+    for k in range(1, hops + 1):
+        extra[f"q{k}"] = f"MATERIALIZED (SELECT q.s, src AS v, t, sum(n) AS n FROM tight x JOIN q{k-1} q ON q.s = x.s AND q.v = dst GROUP BY q.s, src, t)"
+    extra["walks"] = "MATERIALIZED (SELECT s, v, t, sum(n) AS n FROM (" + " UNION ALL ".join(f"SELECT * FROM q{k}" for k in range(hops + 1)) + ") GROUP BY ALL)"
+    return sql(["fs", "zones"], f"""SELECT z.location_id AS id, {r6('coalesce(b.score,0)')} AS score FROM zones z LEFT JOIN (
+        SELECT b.v AS id, sum(a.n*b.n/c.n) AS score FROM walks b JOIN walks a ON a.s = b.s AND a.v = b.s AND a.t = b.v
+        JOIN walks c ON c.s = b.s AND c.v = b.s AND c.t = b.t WHERE b.v <> b.s AND b.t <> b.v GROUP BY b.v) b ON b.id = z.location_id""", extra)
 
 
 def betweenness_sql(levels: int) -> str:
@@ -443,6 +465,12 @@ def oracle_sql() -> dict[str, str]:
     q["pagerank_scaled"] = pagerank_sql(10, None, f"SELECT id, {r6('(score - lo)/(hi - lo)')} AS score FROM {{r}}, (SELECT min(score) AS lo, max(score) AS hi FROM {{r}})")
     q["betweenness"] = betweenness_sql(9)
     q["betweenness_sampled"] = f"SELECT id, score, true AS within_bound FROM ({q['betweenness']})"
+    q["betweenness_weighted"] = weighted_betweenness_sql(14, 14)
+    graph_imp = {"scores_g": f"(SELECT p.id, p.score AS page_rank, b.score AS betweenness FROM ({pagerank_sql(20, None, 'SELECT id, score FROM {r}')}) p JOIN ({q['betweenness']}) b ON b.id = p.id)",
+                 "imp": IMPORTANCE.replace("scores_f", "scores_g")}
+    q["zone_importance_graph"] = sql(["zones"], pick(IMP_COLS, "imp", IMP_DOUBLES), graph_imp)
+    q["projection_windows"] = sql(["vol15"], pick(["src", "dst", "trip_count", "longest", "edge_count"], "vol15", {"longest"}))
+    q["pagerank_windows"] = pagerank_sql(10, None, f"SELECT id, {r6('score')} AS score FROM {{r}}", "shares15")
     q["zone_importance"] = sql(["scores_f"], pick(IMP_COLS, "imp", IMP_DOUBLES), imp)
     q["corridor_zones"] = sql(["scores_f"], pick(IMP_COLS, "imp WHERE corridor_bias >= 0.1", IMP_DOUBLES), imp)
     q["score_distribution"] = sql(["scores_f"], f"SELECT {spread_figures('page_rank')} FROM scores_f")

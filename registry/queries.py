@@ -518,6 +518,22 @@ def _(g):
 
 
 query("zone_importance")(lambda g: g.importance)
+
+
+@query("zone_importance_graph")
+def _(g):
+    """Importance from the scores of one graph: PageRank of 20 rounds and exact betweenness."""
+    nodes, edges = g.volume_graph
+    return centrality.zone_importance(centrality.pagerank(nodes, edges, tol=0).scores, centrality.betweenness(nodes, edges))
+
+
+WINDOWED = projection.GraphSpec("recent_rides", MID, MID + 5 * DAY, 1, edge_properties=(
+    projection.EdgeProperty("trip_count", "trip_count"), projection.EdgeProperty("longest", "avg_duration_seconds", "max"),
+    projection.EdgeProperty("edge_count", "trip_count", "count")))
+
+# Overlapping 15-minute windows as they are stored: counts of overlapping windows add up as they stand.
+query("projection_windows")(lambda g: projection.project_graph(g.zones, g.flows15, WINDOWED)[1])
+query("pagerank_windows")(lambda g: centrality.pagerank(*projection.project_graph(g.zones, g.flows15, WINDOWED), max_iter=10, tol=0).scores)
 query("corridor_zones")(lambda g: centrality.corridor_zones(g.importance))
 query("score_distribution")(lambda g: centrality.score_distribution(g.view("scores_f"), "page_rank", exact=True))
 query("event_value_distribution")(lambda g: projection.distribution(g.view("trips_e"), "fare_amount", exact=True))
