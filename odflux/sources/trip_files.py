@@ -102,7 +102,8 @@ def _numbered_lines(spark: SparkSession, files: list[str]) -> tuple[DataFrame, D
         "value", "source_file", "source_path", (F.col("before") + F.col("seq") - F.col("first") + 1).alias("source_line"))
     # The first line of the first split, found by its place; no other line is looked at.
     heads = splits.where("before = 0").select("source_path", F.col("first").alias("seq"))
-    return numbered, lines.join(heads, ["source_path", "seq"]).select("source_path", F.col("value").alias("header"))
+    headers = cut_lineage(lines.join(heads, ["source_path", "seq"]).select("source_path", F.col("value").alias("header")))
+    return numbered, headers
 
 
 def scan_trip_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -14,7 +14,9 @@ SAMPLE = [
     "upsert_demand_windows", "stream_demand", "surge_score", "zone_rollup", "graph_projection", "pagerank_topk",
     "betweenness", "zone_importance", "modularity", "rand_index", "community_profiles", "complete_grid",
     "rolling_features", "asof_snapshots", "community_peers", "flow_features", "training_matrix", "inference_matrix",
-    "forecast_metrics", "fold_bounds", "demand_map",
+    "forecast_metrics", "fold_bounds", "demand_map", "residual_quantiles", "event_value_distribution", "projection_summary",
+    "scan_trip_files", "stream_late_data", "stream_restart", "projection_windows", "betweenness_weighted", "assemble_vector",
+    "zone_polygons", "mappable_flows", "training_matrix_snapshots",
 ]
 KEYS = sorted(oracle_sql()) if os.environ.get("ODFLUX_ALL") else SAMPLE
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables are not here")
