@@ -198,10 +198,10 @@ def _seasonal_columns(seasons: dict[str, int]) -> list[Column]:
 def _with_trailing(df: DataFrame, spans) -> DataFrame:
     """Statistics over the ``span`` slots before the current one; the current slot is never inside.
 
-    The work per row does not grow with the span. Sums and sums of squares are
-    differences of running totals, exact because counts are whole (up to 2**53).
-    Extremes come by doubling: those of 2, 4, 8, ... slots are each made of two of
-    half the length, and a span is covered by two that overlap.
+    Sums and sums of squares are differences of running totals, exact because counts
+    are whole (up to 2**53). Extremes of 4, 16, 64, ... slots are each made of four of a
+    quarter of the length, and a span is covered by four at most, so the work per row
+    grows with the logarithm of the span only, and so do the passes over a zone's rows.
     """
     if not spans:
         return df
@@ -209,37 +209,40 @@ def _with_trailing(df: DataFrame, spans) -> DataFrame:
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     back = lambda c, n: F.lag(c, n).over(order) if n else F.col(c)
     trips = F.col("trip_count")
-    out = df.select("*", F.row_number().over(order).alias("_nth"), F.sum(trips).over(so_far).alias("_sum"),
-                    F.sum(trips * trips).over(so_far).alias("_squares"), trips.alias("_max_1"), trips.alias("_min_1"))
-    lengths = [1]
-    while 2 * lengths[-1] <= max(spans):
+    # A missing neighbour before the zone's first slot is passed over by both.
+    joined = lambda c, n: {f"_max_{4 * n}": F.greatest(*[back(c.format("max"), i * n) for i in range(4)]),
+                           f"_min_{4 * n}": F.least(*[back(c.format("min"), i * n) for i in range(4)])}
+    out = df.withColumns({
+        "_nth": F.row_number().over(order), "_sum": F.sum(trips).over(so_far), "_squares": F.sum(trips * trips).over(so_far),
+        "_max_1": trips, "_min_1": trips, **(joined("trip_count", 1) if max(spans) >= 4 else {})})
+    lengths = [1, 4] if max(spans) >= 4 else [1]
+    while 4 * lengths[-1] <= max(spans):
         n = lengths[-1]
-        # A missing neighbour before the zone's first slot is passed over by both.
-        out = out.withColumns({f"_max_{2 * n}": F.greatest(f"_max_{n}", back(f"_max_{n}", n)),
-                               f"_min_{2 * n}": F.least(f"_min_{n}", back(f"_min_{n}", n))})
-        lengths.append(2 * n)
-    lagged = {}
+        out = out.withColumns(joined(f"_{{}}_{n}", n))
+        lengths.append(4 * n)
+    lagged, parts = {}, {}
     for span in spans:
-        half = max(n for n in lengths if n <= span)
+        block = max(n for n in lengths if n <= span)
+        offsets = sorted({1 + min(i * block, span - block) for i in range(-(-span // block))})
         for c in ("_sum", "_squares"):
-            lagged[f"{c}_1"] = F.coalesce(back(c, 1), F.lit(0.0))
-            lagged[f"{c}_{span + 1}"] = F.coalesce(back(c, span + 1), F.lit(0.0))
-        for c in (f"_max_{half}", f"_min_{half}"):
-            lagged[f"{c}_near"] = back(c, 1)
-            lagged[f"{c}_far_{span}"] = back(c, 1 + span - half)
+            lagged[f"{c}_at_1"] = F.coalesce(back(c, 1), F.lit(0.0))
+            lagged[f"{c}_at_{span + 1}"] = F.coalesce(back(c, span + 1), F.lit(0.0))
+        for c in (f"_max_{block}", f"_min_{block}"):
+            lagged.update({f"{c}_at_{n}": back(c, n) for n in offsets})
+            # The last slot twice where one block is the whole span: greatest and least take two columns at least.
+            parts[span, c[1:4]] = [f"{c}_at_{n}" for n in (offsets if len(offsets) > 1 else offsets * 2)]
     out = out.withColumns(lagged)
     made: list[Column] = []
     for span in spans:
-        half = max(n for n in lengths if n <= span)
         n = F.least(F.col("_nth") - 1, F.lit(span)).cast("double")
-        total, squares = F.col("_sum_1") - F.col(f"_sum_{span + 1}"), F.col("_squares_1") - F.col(f"_squares_{span + 1}")
+        total, squares = F.col("_sum_at_1") - F.col(f"_sum_at_{span + 1}"), F.col("_squares_at_1") - F.col(f"_squares_at_{span + 1}")
         mean = F.when(n > 0, total / n).otherwise(0.0)
         spread = F.sqrt(F.greatest(n * squares - total * total, F.lit(0.0)) / (n * (n - 1.0)))
         made += [
             mean.alias(f"trip_count_mean_{span}"),
             F.when(n > 1, spread).otherwise(0.0).alias(f"trip_count_stddev_{span}"),
-            or_zero(F.greatest(f"_max_{half}_near", f"_max_{half}_far_{span}")).alias(f"trip_count_max_{span}"),
-            or_zero(F.least(f"_min_{half}_near", f"_min_{half}_far_{span}")).alias(f"trip_count_min_{span}"),
+            or_zero(F.greatest(*parts[span, "max"])).alias(f"trip_count_max_{span}"),
+            or_zero(F.least(*parts[span, "min"])).alias(f"trip_count_min_{span}"),
             (trips - mean).alias(f"trip_count_trend_{span}"),
         ]
     return out.select(*df.columns, *made)
