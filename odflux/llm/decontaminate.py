@@ -34,6 +34,7 @@ from odflux.llm.word_arrays import mix, split_words
 
 #: Benchmark items that one pass over the texts carries along; a longer benchmark takes more passes.
 ITEMS_A_PASS = 5_000
+#: Words from which an item is evidence by itself; of shorter ones no word may be edited, and they are looked for on request.
 SHORTEST_ITEM = 5
 STRIDE = 3
 BANDS, SAMPLED = 4, 3
@@ -116,7 +117,7 @@ def passage_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]
 class BenchmarkIndex:
     """Length classes with their keys for a bounded list of (item id, text)."""
 
-    def __init__(self, items: list[tuple[object, str | None]], share: float, recall: float, seed: int = 7):
+    def __init__(self, items: list[tuple[object, str | None]], share: float, recall: float, seed: int = 7, shortest: int = SHORTEST_ITEM):
         self.share, self.ids = share, [i for i, _ in items]
         found = split_words([t and t.lower() for _, t in items], gap=_GAP)
         hashes = found.hashes()
@@ -144,6 +145,11 @@ class BenchmarkIndex:
                 missed = [(k, words) for k, words in missed if not self._meets(one, k, words)]
             if len(missed) > (1 - recall) * tried:
                 self._cut(one)
+        for size in range(shortest, SHORTEST_ITEM):  # behind the others, whose bits of the vocabulary go by place
+            members = [k for k, words in enumerate(self.items) if len(words) == size]
+            if members:
+                self.classes.append(LengthClass(size, allowed_edits(size, share), members))
+                self._cut(self.classes[-1])
 
     def _edited(self, one: LengthClass, draw: random.Random) -> list[tuple[int, np.ndarray]]:
         """Copies of items at the greatest allowed distance: words replaced, dropped and put in at random places."""
@@ -252,7 +258,7 @@ class BenchmarkIndex:
         for start, item in np.unique(np.concatenate(candidates), axis=0).tolist():
             own = self.items[item]
             text = int(np.searchsorted(found.first, start, side="right")) - 1
-            if start <= done.get((text, item), -1):
+            if start <= done.get((text, item), -1) or best.get((text, item), (1,))[0] == 0:
                 continue  # the passage looked at last covers what this window could add
             edits = allowed_edits(len(own), self.share)
             begin = max(int(found.first[text]), start - STRIDE - edits)
@@ -271,12 +277,13 @@ class BenchmarkIndex:
             yield text, item, distance, a - int(found.first[text]), b - int(found.first[text])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall: float = 0.99) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall: float = 0.99, shortest: int = SHORTEST_ITEM) -> DataFrame:
     """(doc_id, item_id, item_words, edits, first_word, end_word): benchmark items that a text holds, with at most ``share`` word edits.
 
     The best passage of each item and text is given, places counted in words of
-    the text. Items of fewer than ``SHORTEST_ITEM`` words are no evidence and are
-    never reported, nor are null or blank texts on either side. Repeated rows
+    the text. Items of fewer than ``shortest`` words are not reported: few words are
+    no evidence that a text was copied. With ``shortest`` 1 all items are found.
+    Null and blank texts on either side are never reported. Repeated rows
     give repeated results. The items are read in passes of ``ITEMS_A_PASS``, which
     bounds what the driver and each task hold of a benchmark of any size.
     """
@@ -288,7 +295,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall
     passes, block = [], []
 
     def one_pass(items: list[tuple[object, str | None]]) -> DataFrame:
-        index = BenchmarkIndex(items, share, recall)
+        index = BenchmarkIndex(items, share, recall, shortest=shortest)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -317,9 +324,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall: float = 0.99) -> DataFrame:
-    """Rows of ``docs`` whose text holds no benchmark item; rows without an id are judged by their own text too."""
+def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, recall: float = 0.99, shortest: int = SHORTEST_ITEM) -> DataFrame:
+    """Rows of ``docs`` whose text holds no benchmark item of ``shortest`` words; rows without an id are judged by their own text too."""
     tagged = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    leaks = (find_leaks(tagged.select(F.col("__text_hash").alias("doc_id"), "text"), benchmark, share, recall)
+    leaks = (find_leaks(tagged.select(F.col("__text_hash").alias("doc_id"), "text"), benchmark, share, recall, shortest)
              .select(F.col("doc_id").alias("__text_hash")).distinct())
     return tagged.join(leaks, "__text_hash", "left_anti").drop("__text_hash")

@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odflux.llm.common import crc_bucket, cut_lineage, ship_package, slices
-from odflux.llm.word_arrays import split_words, windows
+from odflux.llm.word_arrays import set_id, shingle_sets
 
 #: Labelled rows that a classifier is fitted on, about; the only bound on what is learned from.
 TRAINING_ROWS = 20_000
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, buckets: int, held: int, bound: int = TRAINING_ROWS) -> DataFrame:
-    """(text, label, signature) of a bounded sample of labelled rows outside the held-out bucket.
+    """(doc_id, text, label) of a bounded sample of labelled rows outside the held-out bucket.
 
     The sample is chosen by a hash of the id, so it is the same at every run. One
-    row stays of each group of texts that share their least 5-word shingle hash:
-    copies are no further evidence. Rows without id or label are left out.
+    row stays of each group of texts with the same set of 5-word shingles: copies are
+    no further evidence, while texts that share a line only all stay. Rows without
+    id or label are left out.
     """
     ship_package(docs.sparkSession)
     known = (labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
@@ -31,9 +31,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, buckets: int,
     def signatures(column: pa.Array) -> pa.Array:
         texts, out = column.to_pylist(), []
         for a, b in slices(texts):
-            words = split_words(texts[a:b])
-            found, first = windows(words.hashes(), words.first, 5)
-            out += [int(found[i:j].min() >> np.uint64(1)) if j > i else 0 for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
+            out += [set_id(members) for members in shingle_sets(texts[a:b], 5)]
         return pa.array(out, type=pa.int64())
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(draw, "doc_id")

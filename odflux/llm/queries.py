@@ -39,7 +39,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

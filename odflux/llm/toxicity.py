@@ -4,7 +4,8 @@ The lexicon is learned from labelled rows: words that occur in far more toxic
 than clean texts. All its words form a trie; the product of the trie with the
 automaton "at most so many edits" is made deterministic once and becomes a plain
 table, over which all words of a batch advance together, letter by letter. Few
-words live beyond their first letters.
+words live beyond their first letters. Words near a term that clean texts use too
+are entries that count as nothing, so short terms can be met misspelled as well.
 
 Hits are counted apart as exact or misspelled and as open or quoted, with how
 many stand near another one; a logistic model over these counts gives the score.
@@ -13,6 +14,7 @@ many stand near another one; a logistic model over these counts gives the score.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -30,8 +32,12 @@ from odflux.llm.labelled import TRAINING_ROWS, training_rows
 QUOTES = "\"“”„«»‹›"
 FEATURES = ("exact_open", "near_open", "exact_quoted", "near_quoted", "terms", "clustered", "per_hundred_words")
 
-LARGEST_LEXICON = 1_000
-SHORTEST_FUZZY = 5
+#: Terms that one automaton holds; a larger lexicon has several, and a word is met by all of them.
+TERMS_AN_AUTOMATON = 1_000
+#: Letters from which a term is met misspelled too, by itself and where ordinary words are known not to be it.
+SHORTEST_FUZZY, SHORTEST_LEARNED = 5, 3
+#: Clean labelled texts that make a word ordinary.
+ORDINARY_TEXTS = 2
 CONTEXT_WORDS = 8
 LIFT = 10.0
 
@@ -51,15 +57,18 @@ class FuzzyLexicon:
     ``table[state, letter class]`` is the next state; state 0 is dead, 1 the start.
     ``term[state]`` is the accepted entry or -1, ``edits[state]`` its distance. Of
     several entries the nearest counts, then the first. Entries shorter than
-    ``SHORTEST_FUZZY`` letters are only met exactly.
+    ``shortest`` letters are only met exactly. ``ordinary`` words are entries that
+    are met exactly and count as nothing, however near to a term they are.
     """
 
-    def __init__(self, terms: list[str], most_edits: int = 1):
+    def __init__(self, terms: list[str], most_edits: int = 1, shortest: int = SHORTEST_FUZZY, ordinary: Iterable[str] = ()):
         self.terms = sorted(set(terms))
+        entries = [*self.terms, *sorted(set(ordinary) - set(self.terms))]
+        limit = [most_edits if n < len(self.terms) and len(w) >= shortest else 0 for n, w in enumerate(entries)]
         children: list[dict[str, int]] = [{}]
         ends, allowed = [-1], [0]
-        for number, word in enumerate(self.terms):
-            at, edits = 0, most_edits if len(word) >= SHORTEST_FUZZY else 0
+        for number, word in enumerate(entries):
+            at, edits = 0, limit[number]
             for letter in word:
                 if letter not in children[at]:
                     children[at][letter] = len(children)
@@ -70,7 +79,7 @@ class FuzzyLexicon:
                 at = children[at][letter]
             allowed[at] = max(allowed[at], edits)
             ends[at] = number
-        alphabet = sorted({c for word in self.terms for c in word})
+        alphabet = sorted({c for word in entries for c in word})
         self.classes = {c: i + 1 for i, c in enumerate(alphabet)}
 
         def closed(pairs: dict[int, int]) -> frozenset:
@@ -107,9 +116,8 @@ class FuzzyLexicon:
                 row.append(number[after])
             rows.append(row)
         self.table = np.array(rows, dtype=np.int32)
-        limit = [most_edits if len(w) >= SHORTEST_FUZZY else 0 for w in self.terms]
         best = [min(((e, ends[n]) for n, e in state if ends[n] >= 0 and e <= limit[ends[n]]), default=(0, -1)) for state in order]
-        self.term = np.array([b[1] for b in best], dtype=np.int32)
+        self.term = np.array([b[1] if b[1] < len(self.terms) else -1 for b in best], dtype=np.int32)
         self.edits = np.array([b[0] for b in best], dtype=np.int32)
 
     def classify(self, codes: np.ndarray) -> np.ndarray:
@@ -132,8 +140,39 @@ class FuzzyLexicon:
             alive = alive[state[alive] > 0]
         return state
 
+    def meet(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(term or -1, its edits) of each word."""
+        state = self.match(codes, starts, ends)
+        return self.term[state], self.edits[state]
 
-def hit_counts(lexicon: FuzzyLexicon, texts: list[str | None]) -> np.ndarray:
+
+class LearnedLexicon:
+    """Terms of any number in automata of ``TERMS_AN_AUTOMATON`` each; numbered over all of them, in order."""
+
+    def __init__(self, terms: list[str], ordinary: Iterable[str] = ()):
+        self.terms = sorted(set(terms))
+        self.ordinary = sorted(set(ordinary) - set(self.terms))
+        self.parts = [FuzzyLexicon(self.terms[a:a + TERMS_AN_AUTOMATON], shortest=SHORTEST_LEARNED, ordinary=self.ordinary)
+                      for a in range(0, len(self.terms), TERMS_AN_AUTOMATON)]
+
+    def meet(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        term, edits = np.full(len(starts), -1, dtype=np.int32), np.zeros(len(starts), dtype=np.int32)
+        for number, part in enumerate(self.parts):
+            own, away = part.meet(codes, starts, ends)
+            nearer = (own >= 0) & ((term < 0) | (away < edits))
+            term[nearer], edits[nearer] = own[nearer] + number * TERMS_AN_AUTOMATON, away[nearer]
+        return term, edits
+
+    def near(self, words: list[str]) -> np.ndarray:
+        """Whether each word is met as a misspelled term."""
+        _, low = _letters()
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        codes = low[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        term, edits = self.meet(codes, ends - np.array([len(w) for w in words], dtype=np.int64), ends)
+        return (term >= 0) & (edits > 0)
+
+
+def hit_counts(lexicon: FuzzyLexicon | LearnedLexicon, texts: list[str | None]) -> np.ndarray:
     """Row per text: the FEATURES, counts as log(1 + n)."""
     out = np.zeros((len(texts), len(FEATURES)))
     inside, low = _letters()
@@ -145,12 +184,12 @@ def hit_counts(lexicon: FuzzyLexicon, texts: list[str | None]) -> np.ndarray:
         begins = np.cumsum([0, *[len(t) + 1 for t in part]])
         first = np.searchsorted(starts, begins)
         words = np.diff(first)
-        state = lexicon.match(low[raw], starts, ends)
-        hits = np.flatnonzero(lexicon.term[state] >= 0)
+        term, edits = lexicon.meet(low[raw], starts, ends)
+        hits = np.flatnonzero(term >= 0)
         if not len(hits):
             continue
         text = np.searchsorted(first, hits, side="right") - 1
-        near = lexicon.edits[state[hits]] > 0
+        near = edits[hits] > 0
         quotes = np.concatenate([[0], np.cumsum(np.isin(raw, [ord(c) for c in QUOTES]))])
         from_word = np.maximum(hits - CONTEXT_WORDS, first[text])
         to_word = np.minimum(hits + CONTEXT_WORDS, first[text + 1] - 1)
@@ -169,7 +208,7 @@ def hit_counts(lexicon: FuzzyLexicon, texts: list[str | None]) -> np.ndarray:
         rows = np.zeros((len(part), len(FEATURES)))
         for column, chosen in enumerate((~near & ~quoted, near & ~quoted, ~near & quoted, near & quoted)):
             rows[:, column] = np.log1p(np.bincount(text[chosen], minlength=len(part)))
-        pairs = np.unique(np.stack([text, lexicon.term[state[hits]]], axis=1), axis=0)
+        pairs = np.unique(np.stack([text, term[hits]], axis=1), axis=0)
         rows[:, 4] = np.log1p(np.bincount(pairs[:, 0], minlength=len(part)))
         rows[:, 5] = np.log1p(np.bincount(text[beside & ~quoted], minlength=len(part)))
         rows[:, 6] = np.log1p(100 * np.bincount(text[~quoted & ~near], minlength=len(part)) / np.maximum(words, 1))
@@ -179,7 +218,7 @@ def hit_counts(lexicon: FuzzyLexicon, texts: list[str | None]) -> np.ndarray:
 
 @dataclass
 class ToxicityModel:
-    lexicon: FuzzyLexicon | None
+    lexicon: LearnedLexicon | None
     weights: list[float]
     bias: float
     base_rate: float
@@ -205,12 +244,18 @@ class ToxicityModel:
         return counted.withColumn(column, F.lit(1.0) / (F.lit(1.0) + F.exp(-total))).drop("__hits")
 
 
-def learn_terms(rows: DataFrame, bound: int = LARGEST_LEXICON) -> list[str]:
-    """Words of toxic texts: significant by the likelihood ratio and far more frequent there than in clean ones."""
+def _words() -> Column:
+    return F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{Nd}]+"))
+
+
+def learn_terms(rows: DataFrame) -> list[str]:
+    """Words of toxic texts: significant by the likelihood ratio and far more frequent there than in clean ones.
+
+    There are no more than the words of the labelled rows learned from, which are bounded.
+    """
     tally = rows.agg(F.sum("label"), F.count("*")).first()
     toxic, clean = float(tally[0] or 0), float(tally[1] - (tally[0] or 0))
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{Nd}]+"))
-    seen = (rows.select("label", F.explode(words).alias("word")).where(F.length("word") > 1)
+    seen = (rows.select("label", F.explode(_words()).alias("word")).where(F.length("word") > 1)
             .groupBy("word").agg(F.sum("label").alias("t"), F.count("*").alias("n")).where("t > 2"))
     seen = cut_lineage(seen)
     evidence = 2 * math.log(max(2, seen.count()))  # about one word passes by chance
@@ -218,9 +263,16 @@ def learn_terms(rows: DataFrame, bound: int = LARGEST_LEXICON) -> list[str]:
     base = toxic / (toxic + clean)
     share = F.col("t") / F.col("n")
     ratio = 2 * (F.col("t") * F.log(share / base) + F.when(share < 1, (F.col("n") - F.col("t")) * F.log((1 - share) / (1 - base))).otherwise(0.0))
-    found = (seen.where(in_toxic > LIFT * in_clean).withColumn("g", ratio).where(F.col("g") > evidence)
-             .orderBy(F.desc("g"), "word").limit(bound))
-    return [r.word for r in found.select("word").collect()]
+    found = seen.where(in_toxic > LIFT * in_clean).where(ratio > evidence)
+    return sorted(r.word for r in found.select("word").collect())
+
+
+def ordinary_words(rows: DataFrame, lexicon: LearnedLexicon) -> list[str]:
+    """Words near a term that stand in ``ORDINARY_TEXTS`` clean texts at least: words of their own and no misspellings."""
+    clean = (rows.where("label = 0").select(F.explode(_words()).alias("word")).where(F.length("word") > 1)
+             .groupBy("word").count().where(F.col("count") >= ORDINARY_TEXTS))
+    near = F.arrow_udf(lambda column: pa.array(lexicon.near(column.to_pylist())), "boolean")
+    return sorted(r.word for r in clean.select("word").where(near("word")).collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> ToxicityModel:
@@ -235,7 +287,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Toxic
     terms = learn_terms(rows) if len(counts) == 2 else []
     if not terms:
         return ToxicityModel(None, [], 0.0, rate)
-    model = ToxicityModel(FuzzyLexicon(terms), [], 0.0, rate)
+    lexicon = LearnedLexicon(terms)
+    model = ToxicityModel(LearnedLexicon(terms, ordinary_words(rows, lexicon)), [], 0.0, rate)
     points = cut_lineage(rows.select(array_to_vector(model.features("text")).alias("features"), F.col("label").cast("double")))
     fitted = LogisticRegression(regParam=1e-4, maxIter=60, labelCol="label").fit(points)
     model.weights, model.bias = [float(w) for w in fitted.coefficients], float(fitted.intercept)
