@@ -48,8 +48,11 @@ def test_filled_grid_is_neither_sorted_nor_shuffled(spark):
     assert "MapInArrow" in plan and not any(step in above for step in ("Sort", "Exchange", "Window", "Generate"))
 
 
-def test_rounding_is_the_same_for_whole_and_other_numbers(spark):
-    values = [0.0, -0.0, 3.0, -7.0, 0.1234565, -2.5000005, 1e20, float("inf"), float("nan"), None]
+def test_rounding_is_that_of_round(spark):
+    values = [0.0, -0.0, 3.0, -7.0, 0.1234565, -2.5000005, 1e20, float("inf"), float("-inf"), float("nan"), None, -1e-9, 4e-7]
+    draw = random.Random(5)
+    values += [draw.uniform(-1, 1) * 10 ** draw.randint(-8, 9) for _ in range(2_000)]
+    values += [draw.randint(-10 ** 8, 10 ** 8) / 2e6 for _ in range(2_000)]  # many of them ties
     frame = spark.createDataFrame([(v,) for v in values], "v double")
     told = frame.select(F.round("v", 6).alias("v"))
     assert [str(r[0]) for r in rounded(frame).collect()] == [str(r[0]) for r in told.collect()]
