@@ -78,6 +78,29 @@ def test_betweenness_equals_brute_force(spark, weighted):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_betweenness_in_turns_leaves_no_table_of_a_turn(spark, monkeypatch, weighted):
+    import os
+
+    rng = random.Random(11)
+    pairs = [(s, d, rng.randint(1, 4)) for s in range(9) for d in range(9) if s != d and rng.random() < 0.3]
+    nodes, edges = graph(spark, pairs, range(9))
+    most, held = [0], centrality._turn
+
+    def counted(nodes, edges, sources, weight):
+        most[0] = max(most[0], sources.count())
+        return held(nodes, edges, sources, weight)
+
+    monkeypatch.setattr(centrality, "_turn", counted)
+    monkeypatch.setattr(centrality, "PAIRS_AT_ONCE", 30)
+    root = centrality.ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    got = as_map(centrality.betweenness(nodes, edges, weight="trip_count" if weighted else None))
+    assert got == pytest.approx(brute_betweenness([(s, d, w if weighted else 1) for s, d, w in pairs], range(9)))
+    assert most[0] < 9
+    assert len(set(os.listdir(root)) - before) <= 3, "tables of the turns are still there"
+
+
 def test_sampled_betweenness_is_repeatable(spark):
     nodes, edges = graph(spark, [(i, i + 1, 1) for i in range(8)])
     runs = [as_map(centrality.betweenness(nodes, edges, sample=4, seed=3)) for _ in range(2)]
