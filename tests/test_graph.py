@@ -145,6 +145,53 @@ def test_summary_of_levels(spark):
     assert levels[-1]["modularity"] == pytest.approx(community.modularity(edges, found).first()[0])
 
 
+def test_no_turn_of_louvain_is_taken_twice(spark, monkeypatch):
+    nodes, edges = cliques(spark)
+    taken, turned = [], community._turned
+
+    def watched(placed, *rest):
+        state, _, turn = rest[-3:]
+        taken.append((turn, tuple(sorted((r["id"], r["c"]) for r in state.collect()))))
+        return turned(placed, *rest)
+
+    monkeypatch.setattr(community, "_turned", watched)
+    community.louvain(nodes, edges)
+    assert len(set(taken)) == len(taken)
+
+
+@pytest.mark.parametrize("per_slice", [2, 250_000])
+def test_louvain_of_a_hub_in_pieces(spark, monkeypatch, per_slice):
+    """Each turn against plain loops: hubs are cut at both ends, loops and isolated nodes count."""
+    monkeypatch.setattr(community, "EDGES_PER_SLICE", per_slice)
+    pairs = [(0, b, 1 + b % 3) for b in range(1, 9)] + [(1, 2, 4), (3, 4, 4), (5, 6, 2), (7, 8, 3)]
+    both = pairs + [(b, a, w) for a, b, w in pairs] + [(2, 2, 3)]
+    nodes, _ = graph(spark, pairs)
+    nodes = nodes.select("id").unionByName(spark.range(20, 21).select(F.col("id").cast("int").alias("id")))
+    links = spark.createDataFrame([(a, b, float(w)) for a, b, w in both], "src long, dst long, w double")
+    member = nodes.select(F.col("id").cast("long").alias("id"), (F.col("id") % 5).cast("long").alias("c"))
+    placed, state, whole, places = community._placed(links, member)
+    c = {r["id"]: r["c"] for r in member.collect()}
+    k = {i: sum(w for a, _, w in both if a == i) for i in c}
+    for turn in (0, 1):
+        free = {r["id"]: r["f"] == turn % 2 for r in state.select(
+            "id", F.pmod(F.xxhash64("id", F.lit(turn // 2)), F.lit(2)).alias("f")).collect()}
+        want = {}
+        for i in c:
+            gains = {}
+            for label in {c[i]} | {c[b] for a, b, _ in both if a == i}:
+                to_c = sum(w for a, b, w in both if a == i and b != i and c[b] == label)
+                gains[label] = to_c - k[i] * (sum(k[j] for j in c if c[j] == label) - (k[i] if label == c[i] else 0)) / whole
+            best = min(gains, key=lambda label: (-gains[label], label))
+            want[i] = best if free[i] and gains[best] > gains[c[i]] + 1e-12 else c[i]
+        state, quality, moved = community._turned(placed, places, state, whole, turn)
+        inside = sum(w for a, b, w in both if c[a] == c[b]) / whole
+        squares = sum(sum(k[j] for j in c if c[j] == label) ** 2 for label in set(c.values())) / whole ** 2
+        assert quality == pytest.approx(inside - squares) and moved == sum(want[i] != c[i] for i in c)
+        assert {r["id"]: r["c"] for r in state.collect()} == want
+        c = want
+    placed.unpersist()
+
+
 def test_seeded_louvain_keeps_its_labels(spark):
     nodes, edges = cliques(spark)
     seeded = nodes.withColumn("community_id", (F.floor(F.col("id") / 5) * 100).cast("long"))
