@@ -145,6 +145,33 @@ def test_summary_of_levels(spark):
     assert levels[-1]["modularity"] == pytest.approx(community.modularity(edges, found).first()[0])
 
 
+def test_summary_takes_all_levels_in_one_pass(spark):
+    _, edges = cliques(spark)
+
+    def summed(levels):
+        found = spark.createDataFrame([(i, [i // 5 * 5 if n % 2 else i % 3 for n in range(levels)]) for i in range(15)],
+                                      "id int, intermediate_ids array<long>")
+        spark.sparkContext.setJobGroup(f"summary-{levels}", "")
+        rows = community.louvain_summary(edges, found).collect()
+        spark.sparkContext.setJobGroup("other", "")
+        for r in rows:
+            label = F.col("id").cast("long") if r["level"] == 0 else F.element_at("intermediate_ids", r["level"])
+            by_itself = community.modularity(edges, found.select("id", label.alias("community_id"))).first()[0]
+            assert r["modularity"] == pytest.approx(by_itself)
+        assert [(r["level"], r["communities"], r["smallest"], r["largest"]) for r in rows] == [
+            (n, *((15, 1, 1) if n == 0 else (3, 5, 5))) for n in range(levels + 1)]
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"summary-{levels}"))
+
+    assert summed(6) < summed(2) + 4
+
+
+def test_summary_of_nothing(spark):
+    _, edges = cliques(spark)
+    found = spark.createDataFrame([], "id int, intermediate_ids array<long>")
+    got = [tuple(r) for r in community.louvain_summary(edges, found).collect()]
+    assert got == [(0, 0, 0.0, None, None, None, False)]
+
+
 def test_no_turn_of_louvain_is_taken_twice(spark, monkeypatch):
     nodes, edges = cliques(spark)
     taken, turned = [], community._turned
