@@ -101,6 +101,24 @@ def test_betweenness_in_turns_leaves_no_table_of_a_turn(spark, monkeypatch, weig
     assert len(set(os.listdir(root)) - before) <= 3, "tables of the turns are still there"
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+@pytest.mark.parametrize("names", ["int", "string"])
+def test_betweenness_keeps_no_row_of_a_source_and_node(spark, monkeypatch, weighted, names):
+    rng = random.Random(13)
+    pairs = [(s, d, rng.randint(1, 4)) for s in range(12) for d in range(12) if s != d and rng.random() < 0.2]
+    nodes, edges = (f.select(*[F.col(c).cast(names).alias(c) if c != "trip_count" else F.col(c) for c in f.columns])
+                    for f in graph(spark, pairs, range(14)))
+    weight = "trip_count" if weighted else None
+    want = brute_betweenness([(s, d, w if weighted else 1) for s, d, w in pairs], range(14))
+    with monkeypatch.context() as patch:
+        patch.setattr(centrality, "_turn", None)
+        walked = centrality._dependencies(nodes, edges, centrality._sources(nodes, None, None), weight).collect()
+    assert {int(r["id"]): r["total"] for r in walked} == pytest.approx(want)
+    monkeypatch.setattr(centrality, "LINKS_IN_TASK", 0)  # as a graph too large for a task goes
+    joined = centrality._dependencies(nodes, edges, centrality._sources(nodes, None, None), weight).collect()
+    assert {r["id"]: r["squares"] for r in joined} == pytest.approx({r["id"]: r["squares"] for r in walked})
+
+
 def test_sampled_betweenness_is_repeatable(spark):
     nodes, edges = graph(spark, [(i, i + 1, 1) for i in range(8)])
     runs = [as_map(centrality.betweenness(nodes, edges, sample=4, seed=3)) for _ in range(2)]
