@@ -127,3 +127,23 @@ def test_matrix_without_a_graph_layer(spark):
         from dataclasses import replace
         got = features.training_matrix(sources, replace(cfg, graph=graph)).collect()
         assert got and all(r.community_id == -1 and r.page_rank_score == 0 and r.inbound_trip_count == 0 for r in got)
+
+
+def test_calendar_of_a_slot_is_not_worked_out_row_by_row(spark):
+    cfg = features.FeatureConfig(lags=(1,), spans=(2,), daily_lag=False, weekly_lag=False, horizon=1, graph=features.CURRENT)
+    matrix = features.inference_matrix(features.FeatureSources(demand(spark, SPARSE), zones(spark, 1, 2)), cfg, BASE + 5 * SLIDE, 2)
+    assert "from_utc_timestamp" not in matrix._jdf.queryExecution().optimizedPlan().toString()
+    plain = features.calendar_features(matrix.select("location_id", "window_start"))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, matrix.select(*plain.columns).collect())) and plain.count() == 4
+
+
+def test_wide_steps_of_queries_are_split_into_methods_the_jvm_compiles(spark):
+    from registry.queries import Given
+
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        Given(spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
